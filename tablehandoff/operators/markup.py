@@ -1,0 +1,38 @@
+"""Strict well-formedness of XML texts."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def is_well_formed_xml(c: Column) -> Column:
+    """True for exactly one root element and no unbound prefix; null stays null.
+
+    The built-in XML functions accept several roots and trailing text, so this is a
+    vectorised call of a strict parser that keeps no tree.
+    """
+
+    @F.pandas_udf("boolean")
+    def check(texts: pd.Series) -> pd.Series:
+        from xml.etree import ElementTree
+
+        class Nothing:
+            def close(self):
+                return None
+
+        def parses(body):
+            if body is None:
+                return None
+            parser = ElementTree.XMLParser(target=Nothing())
+            try:
+                parser.feed(body)
+                parser.close()
+            except (ElementTree.ParseError, ValueError):
+                return False
+            return True
+
+        return texts.map(parses).astype("object")
+
+    return check(c)

@@ -1,0 +1,47 @@
+"""Renames and deletes on whatever file system a path lives on."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return file_system(spark, path).exists(_path(spark, path))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    file_system(spark, path).mkdirs(_path(spark, path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    file_system(spark, path).delete(_path(spark, path), True)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the regular files directly in a folder, sorted."""
+    if not exists(spark, folder):
+        return []
+    entries = file_system(spark, folder).listStatus(_path(spark, folder))
+    return sorted(e.getPath().getName() for e in entries if e.isFile())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename that replaces an existing target."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    qualified = file_system(spark, target).makeQualified(_path(spark, target))
+    context = hadoop.FileContext.getFileContext(
+        qualified.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(
+        file_system(spark, source).makeQualified(_path(spark, source)), qualified, options
+    )
