@@ -8,17 +8,47 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+TEXT = T.StringType()
+
+
+def struct_of(*names: str, **typed: T.DataType) -> T.StructType:
+    """Struct of text fields followed by the typed ones."""
+    fields = {**{n: TEXT for n in names}, **typed}
+    return T.StructType([T.StructField(n, kind) for n, kind in fields.items()])
+
+
 # The fields of a job's state and their defaults.
-STATE_SCHEMA = T.StructType.fromDDL(
-    "schema_version INT, job_name STRING, last_run_id STRING, last_run_at STRING, "
-    "last_mode STRING, input_hashes MAP<STRING,STRING>, combined_input_hash STRING, "
-    "artifacts MAP<STRING,STRUCT<path:STRING,input_hash_at_gen:STRING,generated_at:STRING>>, "
-    "substages MAP<STRING,STRUCT<status:STRING,input_hash:STRING,generated_at:STRING,"
-    "deployed_at:STRING,test_result:STRING>>, "
-    "stage_history MAP<STRING,ARRAY<STRUCT<generated_at:STRING,input_hash:STRING,"
-    "artifact_path:STRING,git_commit:STRING,run_id:STRING,mode:STRING,test_result:STRING>>>, "
-    "deployed MAP<STRING,STRING>, last_test_result MAP<STRING,STRING>"
-)
+STATE_SCHEMA = T.StructType([
+    T.StructField("schema_version", T.IntegerType()),
+    T.StructField("job_name", TEXT),
+    T.StructField("last_run_id", TEXT),
+    T.StructField("last_run_at", TEXT),
+    T.StructField("last_mode", TEXT),
+    T.StructField("input_hashes", T.MapType(TEXT, TEXT)),
+    T.StructField("combined_input_hash", TEXT),
+    T.StructField(
+        "artifacts", T.MapType(TEXT, struct_of("path", "input_hash_at_gen", "generated_at"))
+    ),
+    T.StructField(
+        "substages",
+        T.MapType(
+            TEXT, struct_of("status", "input_hash", "generated_at", "deployed_at", "test_result")
+        ),
+    ),
+    T.StructField(
+        "stage_history",
+        T.MapType(
+            TEXT,
+            T.ArrayType(
+                struct_of("generated_at", "input_hash", "artifact_path", "git_commit", "run_id",
+                          "mode", "test_result")
+            ),
+        ),
+    ),
+    T.StructField("deployed", T.MapType(TEXT, TEXT)),
+    T.StructField("last_test_result", T.MapType(TEXT, TEXT)),
+])
+SCHEMA_VERSION = 1
 
 
 def _default(field: T.StructField) -> Column:
@@ -37,7 +67,7 @@ def read_state(
 ) -> Column:
     """Struct of the known fields with defaults, plus ``extras``: the unknown ones as text."""
     if defaults is None:
-        defaults = {"schema_version": F.lit(1)} if schema is STATE_SCHEMA else {}
+        defaults = {"schema_version": F.lit(SCHEMA_VERSION)} if schema is STATE_SCHEMA else {}
     parsed = F.from_json(c, schema)
     known = [
         F.coalesce(

@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehandoff.functions import text
-from tablehandoff.functions.state import flatten_refs
+from tablehandoff.functions.state import TEXT, flatten_refs, struct_of
 from tablehandoff.operators import contract
 from tablehandoff.operators.snapshots import unpivot_fields
 from tablehandoff.plans.decisions import quality_report
 
-_LIST = "ARRAY<STRUCT<file:STRING,role:STRING>>"
+_LIST = T.ArrayType(struct_of("file", "role"))
 # The closed schema of a manifest.
-MANIFEST = T.StructType.fromDDL(
-    "job_name STRING, mode STRING, direction STRING, "
-    f"sources STRUCT<sql:{_LIST},specs:{_LIST},samples:{_LIST},mappings:{_LIST}>, "
-    "destination STRUCT<connection:STRING,path:STRING,file_format:STRING,"
-    "file_name_pattern:STRING>, "
-    "connections STRUCT<oracle:STRING,mulesoft:STRING>, "
-    "mulesoft_delivery STRUCT<repo:STRING,branch:STRING>, "
-    "testing STRUCT<expected_row_logic:STRING,key_assertions:ARRAY<STRING>,"
-    "expected_files:ARRAY<STRUCT<file:STRING,compare:STRING>>>"
+MANIFEST = struct_of(
+    "job_name",
+    "mode",
+    "direction",
+    sources=struct_of(sql=_LIST, specs=_LIST, samples=_LIST, mappings=_LIST),
+    destination=struct_of("connection", "path", "file_format", "file_name_pattern"),
+    connections=struct_of("oracle", "mulesoft"),
+    mulesoft_delivery=struct_of("repo", "branch"),
+    testing=struct_of(
+        "expected_row_logic",
+        key_assertions=T.ArrayType(TEXT),
+        expected_files=T.ArrayType(struct_of("file", "compare")),
+    ),
 )
 # Enumerations, roles per source list, defaults.
 MODES = ["generate", "deploy"]

@@ -131,10 +131,8 @@ def skip_identical(
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         hashed = batch.select("path", "content", content_hash(F.col("content")).alias("hash"))
-        # Of equal files in one batch the first path counts.
-        first = hashed.groupBy("hash").agg(
-            F.min_by(F.struct("path", "content"), "path").alias("f")
-        ).select("hash", "f.path", "f.content")
+        # Of equal files in one batch the first path counts; contents stay out of the shuffle.
+        first = hashed.groupBy("hash").agg(F.min("path").alias("path"))
         if storage.exists(spark, state):
             known = (
                 spark.read.schema("hash STRING, batch STRING").parquet(state)
@@ -142,9 +140,10 @@ def skip_identical(
                 .select("hash")
             )
             first = first.join(known, "hash", "left_anti")
-        new = first.checkpoint()
+        first = first.checkpoint()
+        new = hashed.join(first, ["hash", "path"], "left_semi")
         tables.append_history(new, target, str(batch_id))
-        tables.append_history(new.select("hash"), state, str(batch_id))
+        tables.append_history(first.select("hash"), state, str(batch_id))
 
     work_folder(files.sparkSession, "skip")  # names the checkpoint folder of the session
     return (
