@@ -13,6 +13,15 @@ from pyspark.sql import types as T
 from tablehandoff.functions import text
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _if(broken: Column, message: Column) -> Column:
+    """The message as a list, or an empty list; stays inside generated code."""
+    return F.when(broken, F.array(message)).otherwise(_none())
+
+
 @dataclass(frozen=True)
 class Rule:
     """``holds`` must be true; null counts as broken. ``message`` may use the row."""
@@ -22,7 +31,7 @@ class Rule:
 
     @property
     def problems(self) -> Column:
-        return F.array(F.when(~F.coalesce(self.holds, F.lit(False)), self.message))
+        return _if(~F.coalesce(self.holds, F.lit(False)), self.message)
 
 
 @dataclass(frozen=True)
@@ -36,7 +45,7 @@ class ListRule:
     @property
     def problems(self) -> Column:
         bad = F.filter(
-            F.coalesce(self.values, F.array().cast("array<string>")),
+            F.coalesce(self.values, _none()),
             lambda x: ~F.coalesce(self.holds(x), F.lit(False)),
         )
         return F.transform(bad, self.message)
@@ -86,7 +95,7 @@ def check_rules(
 ) -> DataFrame:
     """(keys, errors[]) for every row, in rule order; a narrow projection without shuffle."""
     problems = F.concat(*[r.problems for r in rules])
-    return df.select(*keys, F.array_compact(problems).alias(name))
+    return df.select(*keys, problems.alias(name))
 
 
 def error_rows(checked: DataFrame, keys: Sequence[str], name: str = "errors") -> DataFrame:
@@ -111,7 +120,7 @@ def check_with(
     def custom(batch: pd.DataFrame) -> pd.Series:
         return validate(batch)
 
-    ruled = [F.array_compact(F.concat(*[r.problems for r in rules]))] if rules else []
+    ruled = [r.problems for r in rules]
     extra = custom(F.struct(*columns))
     return df.select(*keys, F.concat(*ruled, extra).alias(name))
 
@@ -129,19 +138,17 @@ def marker_problems(
     """
     upper = F.upper(content)
     checks = [
-        F.when(
-            (kind == k) & ~F.contains(upper, F.lit(m)), F.lit(f"{k} output contains no {m}")
-        )
+        _if((kind == k) & ~F.contains(upper, F.lit(m)), F.lit(f"{k} output contains no {m}"))
         for k, m in markers.items()
     ]
     if named_kinds:
         checks.append(
-            F.when(
+            _if(
                 kind.isin(list(named_kinds)) & ~F.contains(content, job),
                 F.concat(kind, F.lit(" output does not mention job_name "), _shown(job)),
             )
         )
-    return F.array_compact(F.array(*checks))
+    return F.concat(*checks)
 
 
 def cap_problem(name: Column, content: Column, cap: int = text.FILE_CHAR_CAP) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Characters of the values one search automaton is built from.
 CHUNK_CHARS = 4_000_000
@@ -60,13 +61,13 @@ def sensitive_scan(
         if not names:
             continue
         shared = spark.sparkContext.broadcast(names)
-        hits = plain.mapInPandas(_finder(shared, key, content, name), schema)
+        hits = plain.mapInArrow(_finder(shared, key, name, to_arrow_type(schema[name].dataType)), schema)
         found = hits if found is None else found.unionByName(hits)
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _finder(shared, key: str, content: str, name: str):
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _finder(shared, key: str, name: str, name_type: pa.DataType):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
@@ -74,11 +75,14 @@ def _finder(shared, key: str, content: str, name: str):
             automaton.add_word(value, names)
         automaton.make_automaton()
         for batch in batches:
-            keys, hits = [], []
-            for k, body in zip(batch[key], batch[content]):
-                found = {n for _, names in automaton.iter(body) for n in names}
-                keys.extend([k] * len(found))
+            keys, bodies = batch.columns
+            places, hits = [], []
+            for i, body in enumerate(bodies):
+                found = {n for _, names in automaton.iter(body.as_py()) for n in names}
+                places.extend([i] * len(found))
                 hits.extend(found)
-            yield pd.DataFrame({key: keys, name: hits})
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(places, pa.int64())), pa.array(hits, name_type)], [key, name]
+            )
 
     return find

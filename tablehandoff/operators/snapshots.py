@@ -63,11 +63,23 @@ def _exact_digest(key: Column, value: Column) -> Column:
     return F.concat(F.lit(HASH_PREFIX), F.sha2(F.array_join(fed, ""), 256))
 
 
-def _sum_limbs(key: Column, value: Column) -> list[Column]:
+def _with_digest(df: DataFrame, key: Column, value: Column) -> DataFrame:
+    return df.withColumn("_row", F.sha2(F.concat(key, F.lit("\0"), value, F.lit("\0")), 256))
+
+
+def _sum_limbs() -> list[Column]:
     """Sums of the eight 32-bit pieces of every row's digest: combines in any order."""
-    row = F.sha2(F.concat(key, F.lit("\0"), value, F.lit("\0")), 256)
-    pieces = [F.conv(F.substring(row, 1 + 8 * i, 8), 16, 10) for i in range(8)]
-    return [F.sum(p.cast("decimal(20,0)")).alias(f"_s{i}") for i, p in enumerate(pieces)]
+    pieces = [F.conv(F.substring("_row", 1 + 8 * i, 8), 16, 10) for i in range(8)]
+    return [
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(p.cast("decimal(20,0)")).alias(f"_s{i}") for i, p in enumerate(pieces)],
+    ]
+
+
+def _sum_digest() -> Column:
+    sums = [F.coalesce(F.col(f"_s{i}").cast("string"), F.lit("0")) for i in range(8)]
+    joined = F.concat_ws(":", F.col("n").cast("string"), *sums)
+    return F.concat(F.lit(HASH_PREFIX), F.sha2(joined, 256))
 
 
 def fingerprint(
@@ -95,21 +107,9 @@ def fingerprint(
     )
     if heavy is None:
         return out
-    sums = (
-        split_heavy(df, groups, heavy)[1]
-        .groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("n"), *_sum_limbs(k, v))
-    )
-    joined = F.concat_ws(":", F.col("n").cast("string"), *[
-        F.col(f"_s{i}").cast("string") for i in range(8)
-    ])
+    sums = _with_digest(split_heavy(df, groups, heavy)[1], k, v).groupBy(*groups).agg(*_sum_limbs())
     return out.unionByName(
-        sums.select(
-            *groups,
-            "n",
-            F.lit(SUM).alias("form"),
-            F.concat(F.lit(HASH_PREFIX), F.sha2(joined, 256)).alias("fingerprint"),
-        )
+        sums.select(*groups, "n", F.lit(SUM).alias("form"), _sum_digest().alias("fingerprint"))
     )
 
 
@@ -117,20 +117,8 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> st
     """One digest of a whole table (rows in any order, copies counted), in the sum form."""
     names = list(columns or df.columns)
     whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), *_sum_limbs(F.lit(",".join(names)), whole)
-    ).select(
-        F.concat(
-            F.lit(HASH_PREFIX),
-            F.sha2(
-                F.concat_ws(":", F.col("n").cast("string"), *[
-                    F.coalesce(F.col(f"_s{i}").cast("string"), F.lit("0")) for i in range(8)
-                ]),
-                256,
-            ),
-        )
-    ).first()
-    return row[0]
+    rows = _with_digest(df, F.lit(",".join(names)), whole)
+    return rows.agg(*_sum_limbs()).select(_sum_digest()).first()[0]
 
 
 def _both_sides(

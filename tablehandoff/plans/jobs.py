@@ -113,11 +113,9 @@ def run_download(job: DownloadJob, strict: bool = True) -> Delivery:
     extract = staging.select(*rows.export_columns(job.columns, job.dates_as))
     paths = deliver(extract, job)
     delivered = read_delivered(spark, paths, job.fmt, extract.schema, job.row_tag, job.layout)
-    checks = [assertions.assert_row_count(delivered, staging)]
+    checks = [assertions.assert_rows(delivered, staging, job.not_null)]
     if job.header is not None:
         checks.append(assertions.assert_header(spark, paths, job.header))
-    if job.not_null:
-        checks.append(assertions.assert_no_nulls(delivered, job.not_null))
     if job.golden is not None:
         checks.append(
             assertions.assert_golden(delivered, job.golden, list(job.columns), list(job.order_by))

@@ -86,12 +86,11 @@ def referenced_files(manifests: DataFrame) -> DataFrame:
 
 def reference_categories(manifests: DataFrame) -> DataFrame:
     """(job, path, category) of the files the source lists name."""
+    def tagged(category: str):
+        return lambda f: F.struct(f.alias("path"), F.lit(category).alias("category"))
+
     pairs = [
-        F.transform(
-            _m(f"sources.{n}.file"),
-            lambda f, c=c: F.struct(f.alias("path"), F.lit(c).alias("category")),
-        )
-        for n, c in _SOURCE_CATEGORY.items()
+        F.transform(_m(f"sources.{n}.file"), tagged(c)) for n, c in _SOURCE_CATEGORY.items()
     ]
     return manifests.select("job", F.inline(flatten_refs(*pairs)))
 

@@ -110,24 +110,28 @@ def job_name() -> Column:
     return F.concat("source", F.lit("/"), "lang")
 
 
+def hashed_documents(t: Tables, content: Column) -> DataFrame:
+    """Texts are hashed in the scan, so that only digests travel through the joins."""
+    return t.documents.select(
+        "doc_id",
+        "source",
+        "lang",
+        job_name().alias("job"),
+        document_path().alias("path"),
+        F.sha2(content, 256).alias("hash"),
+    )
+
+
 def current_documents(t: Tables) -> DataFrame:
     toxic = t.labels.where(F.col("toxic") == 1)
-    return (
-        t.documents.join(toxic, "doc_id", "left_anti")
-        .withColumn("job", job_name())
-        .withColumn("path", document_path())
-        .withColumn("hash", F.sha2("text", 256))
-        .select("doc_id", "job", "path", "source", "lang", "hash")
-    )
+    return hashed_documents(t, F.col("text")).join(toxic, "doc_id", "left_anti")
 
 
 def previous_documents(t: Tables) -> DataFrame:
     collapsed = F.regexp_replace("text", r"[ \t\r\n]+", " ")
     return (
-        t.documents.join(t.labels, "doc_id")
-        .withColumn("job", job_name())
-        .withColumn("path", document_path())
-        .withColumn("hash", F.sha2(collapsed, 256))
+        hashed_documents(t, collapsed)
+        .join(t.labels, "doc_id")
         .withColumn("lang", F.when(F.col("quality") == 1, F.col("lang")))
         .select("doc_id", "job", "path", "source", "lang", "quality", "hash")
     )

@@ -10,8 +10,9 @@ from tablehandoff.operators import contract, markup, rows, sections, sensitive
 from tablehandoff.registry.base import Tables, query, sql_strip
 from tablehandoff.sinks import report
 
+LINE_BREAK = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 LINES = f"""l AS (SELECT doc_id, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS p
-  FROM (SELECT doc_id, string_split_regex(text, '{text.LINE_BREAK}') AS p FROM documents))"""
+  FROM (SELECT doc_id, string_split_regex(text, '{LINE_BREAK}') AS p FROM documents))"""
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, len(p)::INT AS total, len(p) > 20 AS truncated,
@@ -19,14 +20,7 @@ LINES = f"""l AS (SELECT doc_id, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS
       || '[truncated: showing first 20 of ' || len(p) || ' rows]'
     ELSE array_to_string(p, chr(10)) END AS head FROM l""")
 def sample_head(t: Tables) -> DataFrame:
-    c = F.col("text")
-    total = text.line_count(c)
-    return t.documents.select(
-        "doc_id",
-        total.alias("total"),
-        (total > text.SAMPLE_LINES).alias("truncated"),
-        text.sample_head(c).alias("head"),
-    )
+    return text.sample_head(t.documents, "text").select("doc_id", "total", "truncated", "head")
 
 
 @query("""SELECT doc_id, 'doc ' || doc_id || ': content is ' || length(text)

@@ -160,13 +160,13 @@ def next_in_group(
             runs.groupBy(*keys, "_run")
             .agg(F.min_by(column, F.struct(*order_by)).alias("_head"),
                  F.max(F.struct(*order_by)).alias("_last"))
-            .withColumn("_next", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_run")))
-            .where(F.col("_next").isNotNull())
+            .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_run")))
+            .where(F.col("_next_head").isNotNull())
             .drop("_head")
         )
         heads = renamed_keys(heads, [*keys, "_run"])
         cond = same_keys(out, heads, [*keys, "_run"]) & (F.struct(*order_by) == F.col("_last"))
-        out = out.join(heads, cond, "left").withColumn(name, F.coalesce(name, F.col("_next")))
+        out = out.join(heads, cond, "left").withColumn(name, F.coalesce(name, F.col("_next_head")))
     return out.select(*df.columns, name)
 
 

@@ -31,7 +31,8 @@ def build(app_name: str = "tablehandoff", master: str | None = None, **extra: st
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **extra}.items():
+    static = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for key, value in {**RUNTIME_CONF, **static, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff.functions.dates import resolve_file_name
-from tablehandoff.sinks import storage
+from tablehandoff import storage
 from tablehandoff.sources.files import FixedColumn
 
 # Rows of one delivered file; a larger export becomes numbered files of about this size.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff.functions import text
-from tablehandoff.sinks import storage
+from tablehandoff import storage
 
 # Wording of the report.
 LOW_CONFIDENCE = "**⚠ assertions are AI-authored — lower confidence**"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehandoff.session import checkpoint_folder
-from tablehandoff.sinks import storage
+from tablehandoff import storage
 
 
 def staging_name(job_name: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablehandoff import storage
 from tablehandoff.functions import text
 
 PLACEHOLDER = ".gitkeep"
@@ -132,18 +133,31 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
 def list_inventory(
     spark: SparkSession, root: str, top_dirs: Sequence[str] | None = None
 ) -> DataFrame:
-    """(top, rel_path, size, mtime) of the files below ``root``; no content is read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(
-            _relative(F.col("path"), root).alias("rel_path"),
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("mtime"),
+    """(top, rel_path, size, mtime) of the files below ``root``; no content is read.
+
+    A scan skips files without content, so these are added from the file index of the
+    scan (size 0, mtime unknown).
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = listed.select(
+        _relative(F.col("path"), root).alias("rel_path"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("mtime"),
+    )
+    # One string, since the index already holds every path on the driver.
+    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", listed._jdf.inputFiles())
+    index = spark.createDataFrame([(n,) for n in names.split("\n") if n], "path string")
+    empty = index.select(_relative(F.col("path"), root).alias("rel_path")).join(
+        files.select("rel_path"), "rel_path", "left_anti"
+    )
+    files = files.unionByName(
+        empty.select(
+            "rel_path", F.lit(0).cast("long").alias("size"),
+            F.lit(None).cast("timestamp").alias("mtime"),
         )
-        .withColumn("top", F.split("rel_path", "/")[0])
-        .where(_base_name(F.col("rel_path")) != PLACEHOLDER)
+    )
+    files = files.withColumn("top", F.split("rel_path", "/")[0]).where(
+        _base_name(F.col("rel_path")) != PLACEHOLDER
     )
     if top_dirs is not None:
         files = files.where(F.col("top").isin(list(top_dirs)) & F.contains("rel_path", F.lit("/")))
@@ -151,17 +165,12 @@ def list_inventory(
 
 
 def landing_lookup(spark: SparkSession, directory: str, prefix: str) -> str | None:
-    """Full path of the first file (by name) in ``directory`` that starts with ``prefix``."""
-    base = directory.rstrip("/")
-    found = (
-        spark.read.format("binaryFile")
-        .load(base)
-        .select(_base_name(F.col("path")).alias("name"))
-        .where(text.match_prefix(F.col("name"), prefix))
-        .agg(F.min("name").alias("name"))
-        .first()
-    )
-    return f"{base}/{found.name}" if found and found.name is not None else None
+    """Full path of the first file (by name) in ``directory`` that starts with ``prefix``.
+
+    A directory entry is enough: the file may be empty.
+    """
+    names = storage.matching_files(spark, directory, prefix)
+    return f"{directory.rstrip('/')}/{names[0]}" if names else None
 
 
 def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,22 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(e.getPath().getName() for e in entries if e.isFile())
 
 
+def matching_files(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names of the regular files in a folder that start with ``prefix``, sorted."""
+    escaped = re.sub(r"([*?\[\]{}\\])", r"\\\1", prefix)
+    pattern = _path(spark, f"{folder.rstrip('/')}/{escaped}*")
+    entries = file_system(spark, folder).globStatus(pattern) or []
+    return sorted(e.getPath().getName() for e in entries if e.isFile())
+
+
+def file_size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a regular file; null if there is none."""
+    if not exists(spark, path):
+        return None
+    status = file_system(spark, path).getFileStatus(_path(spark, path))
+    return status.getLen() if status.isFile() else None
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename that replaces an existing target."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -45,3 +63,16 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     context.rename(
         file_system(spark, source).makeQualified(_path(spark, source)), qualified, options
     )
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file without its line break; null for an empty file."""
+    java = spark._jvm.java
+    stream = file_system(spark, path).open(_path(spark, path))
+    reader = java.io.BufferedReader(
+        java.io.InputStreamReader(stream, java.nio.charset.StandardCharsets.UTF_8)
+    )
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablehandoff import storage
 from tablehandoff.functions.text import content_hash
 from tablehandoff.session import work_folder
-from tablehandoff.sinks import storage, tables
+from tablehandoff.sinks import tables
+from tablehandoff.sources import files
 
 # Patience and poll interval in seconds.
 WAIT_SECONDS, POLL_SECONDS = 300, 10
@@ -63,40 +66,20 @@ def watch_landing(
 ) -> str:
     """Waits until a file with the prefix is there and returns its full path.
 
-    The file's content is not read, so an empty file counts. The error of a timeout names
-    prefix and directory.
+    Polls the directory itself: a stream would never report a file without content. The
+    error of a timeout names prefix and directory.
     """
-    found: list[str] = []
-    query: StreamingQuery
-
-    def note(batch: DataFrame, _: int) -> None:
-        # A batch lists new files; only the first name is fetched.
-        row = batch.agg(F.min(F.element_at(F.split("path", "/"), -1)).alias("name")).first()
-        if row.name is not None:
-            found.append(row.name)
-
-    query = (
-        landing_files(spark, directory, prefix)
-        .select("path")
-        .writeStream.foreachBatch(note)
-        .option("checkpointLocation", work_folder(spark, "watch"))
-        .trigger(processingTime=f"{poll_s} seconds")
-        .start()
-    )
-    waited = 0.0
-    step = min(poll_s, 0.5)
-    try:
-        while not found and waited < timeout_s:
-            if query.awaitTermination(step):
-                break
-            waited += step
-    finally:
-        query.stop()
-    if not found:
-        raise TimeoutError(
-            f"no file starting with '{prefix}' appeared in {directory} within {timeout_s:g}s"
-        )
-    return f"{directory.rstrip('/')}/{found[0]}"
+    deadline = time.monotonic() + timeout_s
+    while True:
+        path = files.landing_lookup(spark, directory, prefix)
+        if path is not None:
+            return path
+        left = deadline - time.monotonic()
+        if left <= 0:
+            raise TimeoutError(
+                f"no file starting with '{prefix}' appeared in {directory} within {timeout_s:g}s"
+            )
+        time.sleep(min(poll_s, left))
 
 
 def stream_upload(
@@ -119,7 +102,7 @@ def stream_upload(
 
 
 def skip_identical(
-    files: DataFrame, target: str, state: str, checkpoint: str, **trigger
+    stream: DataFrame, target: str, state: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Appends (path, hash, content) of files whose content was not seen before.
 
@@ -145,9 +128,9 @@ def skip_identical(
         tables.append_history(new, target, str(batch_id))
         tables.append_history(first.select("hash"), state, str(batch_id))
 
-    work_folder(files.sparkSession, "skip")  # names the checkpoint folder of the session
+    work_folder(stream.sparkSession, "skip")  # names the checkpoint folder of the session
     return (
-        files.writeStream.foreachBatch(load)
+        stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
