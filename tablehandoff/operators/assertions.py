@@ -227,22 +227,8 @@ def default_checks(
 
 
 def _parses(spark, paths, fmt, schema, row_tag, layout) -> DataFrame:
-    if fmt == "fixed":
-        width = sum(c.width for c in layout)
-        rows = spark.read.text(paths)
-        bad = F.length("value") != width
-    else:
-        if fmt == "csv":
-            rows = files.read_delimited(spark, paths, schema, keep_corrupt=True)
-        elif fmt == "json":
-            rows = files.read_json_file(spark, paths, schema, keep_corrupt=True)
-        else:
-            rows = files.read_xml_file(spark, paths, schema, row_tag, keep_corrupt=True)
-        bad = F.col(files.CORRUPT).isNotNull()
-        # Every column takes part (as a zero), otherwise the reader would not parse the values.
-        zero = F.pmod(F.xxhash64(*[c for c in rows.columns if c != files.CORRUPT]), F.lit(1))
-        bad = F.col(files.CORRUPT).isNotNull() & (zero == 0)
-    counted = rows.agg(F.count_if(bad).alias("n"))
+    rows = files.read_format(spark, paths, fmt, schema, row_tag, layout, keep_corrupt=True)
+    counted = rows.agg(F.count_if(files.corrupt(rows)).alias("n"))
     return _result(
         counted, f"parses as {fmt}", F.col("n") == 0, F.format_string("%d bad records", "n")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehandoff.functions import dates, text
@@ -136,6 +136,23 @@ def head_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def sample_lines(
+    lines: DataFrame, n: int = text.SAMPLE_LINES, file: str = "file", order: str = "line_no"
+) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` lines of every file, and (file, total, truncated) of every file.
+
+    Lines are rows here, so a file may be of any size: a map task passes on at most ``n``
+    lines of a file, and the totals are counts.
+    """
+    rank = F.row_number().over(Window.partitionBy(file).orderBy(order))
+    head = lines.withColumn("_rank", rank).where(F.col("_rank") <= n)
+    totals = lines.groupBy(file).agg(F.count(F.lit(1)).alias("total"))
+    return (
+        head.withColumn(order, F.col("_rank").cast("long")).drop("_rank"),
+        totals.withColumn("truncated", F.col("total") > n),
+    )
+
+
 def markdown_rows(df: DataFrame, columns: Sequence[str], name: str = "line") -> DataFrame:
     return df.withColumn(name, text.markdown_row([F.col(c) for c in columns]))
 

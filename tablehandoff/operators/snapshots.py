@@ -50,6 +50,7 @@ CATEGORY_RANK = ["sql", "specs", "samples", "destination"]
 UNKNOWN_CATEGORY = "specs"  # unknown change: everything is affected
 
 EXACT, SUM = "exact", "sum"
+PIECE = 6  # hex digits of a row digest that are added up together
 
 
 def _literal_map(pairs: Mapping[str, str]) -> Column:
@@ -68,16 +69,20 @@ def _with_digest(df: DataFrame, key: Column, value: Column) -> DataFrame:
 
 
 def _sum_limbs() -> list[Column]:
-    """Sums of the eight 32-bit pieces of every row's digest: combines in any order."""
-    pieces = [F.conv(F.substring("_row", 1 + 8 * i, 8), 16, 10) for i in range(8)]
+    """Sums of the pieces of every row's digest: they combine in any order.
+
+    Pieces of 24 bits leave room for 5e11 rows of one group in a 64-bit sum; beyond that
+    the sum raises an overflow error.
+    """
+    pieces = [F.conv(F.substring("_row", at, PIECE), 16, 10) for at in range(1, 65, PIECE)]
     return [
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(p.cast("decimal(20,0)")).alias(f"_s{i}") for i, p in enumerate(pieces)],
+        *[F.sum(p.cast("long")).alias(f"_s{i}") for i, p in enumerate(pieces)],
     ]
 
 
 def _sum_digest() -> Column:
-    sums = [F.coalesce(F.col(f"_s{i}").cast("string"), F.lit("0")) for i in range(8)]
+    sums = [F.coalesce(f"_s{i}", F.lit(0)).cast("string") for i in range(len(range(1, 65, PIECE)))]
     joined = F.concat_ws(":", F.col("n").cast("string"), *sums)
     return F.concat(F.lit(HASH_PREFIX), F.sha2(joined, 256))
 

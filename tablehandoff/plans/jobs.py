@@ -86,21 +86,6 @@ def deliver(df: DataFrame, job: DownloadJob) -> list[str]:
     raise ValueError(f"unknown file format '{job.fmt}'")
 
 
-def read_delivered(
-    spark: SparkSession, paths: list[str], fmt: str, schema, row_tag: str = "row",
-    layout: Sequence[FixedColumn] = (), header: bool = True,
-) -> DataFrame:
-    if fmt == "csv":
-        return file_sources.read_delimited(spark, paths, schema, header=header)
-    if fmt == "json":
-        return file_sources.read_json_file(spark, paths, schema)
-    if fmt == "xml":
-        return file_sources.read_xml_file(spark, paths, schema, row_tag)
-    if fmt == "fixed":
-        return file_sources.read_fixed(spark, paths, layout)
-    raise ValueError(f"unknown file format '{fmt}'")
-
-
 def run_download(job: DownloadJob, strict: bool = True) -> Delivery:
     """Stage, export, deliver, verify, in that order.
 
@@ -112,7 +97,9 @@ def run_download(job: DownloadJob, strict: bool = True) -> Delivery:
     # Delivery sorts into files itself, so the export is only projected here.
     extract = staging.select(*rows.export_columns(job.columns, job.dates_as))
     paths = deliver(extract, job)
-    delivered = read_delivered(spark, paths, job.fmt, extract.schema, job.row_tag, job.layout)
+    delivered = file_sources.read_format(
+        spark, paths, job.fmt, extract.schema, job.row_tag, job.layout
+    )
     checks = [assertions.assert_rows(delivered, staging, job.not_null)]
     if job.header is not None:
         checks.append(assertions.assert_header(spark, paths, job.header))
@@ -149,21 +136,23 @@ def run_upload(
 ) -> DataFrame:
     """Parse a file, check its rows, append them to the job's staging table.
 
-    The rows are checked before anything is written; a repeated ``batch`` replaces its
-    own rows. Returns the staging table.
+    The rows are checked before anything is written: a record that does not parse and a
+    row that breaks a rule are errors. A repeated ``batch`` replaces its own rows. Returns
+    the staging table.
     """
-    parsed = read_delivered(
-        spark, paths if isinstance(paths, list) else [paths], fmt, schema, row_tag, layout, header
+    parsed = file_sources.read_format(
+        spark, paths, fmt, schema, row_tag, layout, header, keep_corrupt=True, check_header=header
     )
-    if rules is not None:
-        problems = contract.error_rows(contract.check_rules(parsed, [], rules()), [])
-        found = problems.groupBy("message").agg(F.count(F.lit(1)).alias("n")).orderBy(
-            F.desc("n"), "message"
-        ).limit(20).collect()
-        if found:
-            raise ContractError(
-                f"{job_name}: " + "; ".join(f"{r.message} ({r.n} rows)" for r in found)
-            )
+    readable = contract.Rule(~file_sources.corrupt(parsed), F.lit("record does not parse"))
+    checks = [readable, *(rules() if rules else [])]
+    problems = contract.error_rows(contract.check_rules(parsed, [], checks), [])
+    found = problems.groupBy("message").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "message"
+    ).limit(20).collect()
+    if found:
+        raise ContractError(
+            f"{job_name}: " + "; ".join(f"{r.message} ({r.n} rows)" for r in found)
+        )
     table = f"{target.rstrip('/')}/{tables.staging_name(job_name)}"
-    tables.append_history(parsed, table, batch)
+    tables.append_history(parsed.drop(file_sources.CORRUPT), table, batch)
     return spark.read.parquet(table).drop("batch")

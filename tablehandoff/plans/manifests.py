@@ -103,9 +103,13 @@ def manifest_fields(manifests: DataFrame) -> DataFrame:
 
 
 def used_connections(manifests: DataFrame) -> DataFrame:
-    """(job, name): connections a job uses, defaults filled in, each once."""
+    """(job, name): connections a job uses, defaults filled in, each once.
+
+    The source connection counts only for jobs that have load files.
+    """
+    source = F.coalesce(_m("connections.oracle"), F.lit(DEFAULT_CONNECTIONS["oracle"]))
     names = F.array(
-        F.coalesce(_m("connections.oracle"), F.lit(DEFAULT_CONNECTIONS["oracle"])),
+        F.when(F.size(F.coalesce(_m("sources.sql.file"), F.array().cast("array<string>"))) > 0, source),
         F.coalesce(_m("connections.mulesoft"), F.lit(DEFAULT_CONNECTIONS["mulesoft"])),
         _m("destination.connection"),
     )

@@ -34,7 +34,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 class Tables:
-    """The given tables by name: ``t.orders``."""
+    """The given tables by name: ``t.orders``; each is opened once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.configure(spark)
@@ -43,7 +43,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self.__dict__[name] = table
+        return table
 
 
 # SQL pieces shared by several oracles.
@@ -81,17 +83,18 @@ def big_orders(t: Tables) -> DataFrame:
     return t.orders.where(F.col("o_totalprice") > BIG_PRICE)
 
 
-# Two snapshots of the documents. Before: the labelled ones, white space collapsed, the
-# language unknown for low quality. Now: all but those labelled toxic, as they are.
+# A job is a source, a language and a size class.
+SQL_JOB = "source || '/' || lang || '/' || (n_chars // 500)"
 
-SNAPSHOTS = r"""cur AS (
-  SELECT d.doc_id, source, lang, source || '/' || lang AS job, sha256(text) AS h
+# Two snapshots of the documents. Before: the labelled ones, those of low quality with their
+# lines joined and the language unknown. Now: all but those labelled toxic, as they are.
+SNAPSHOTS = f"""cur AS (
+  SELECT d.doc_id, source, lang, {SQL_JOB} AS job, sha256(text) AS h
   FROM documents d WHERE NOT EXISTS (
     SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1)),
 prev AS (
-  SELECT d.doc_id, source, CASE WHEN quality = 1 THEN lang END AS lang,
-         source || '/' || lang AS job,
-         sha256(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')) AS h
+  SELECT d.doc_id, source, CASE WHEN quality = 1 THEN lang END AS lang, {SQL_JOB} AS job,
+         sha256(CASE WHEN quality = 1 THEN text ELSE replace(text, chr(10), ' ') END) AS h
   FROM documents d JOIN labels USING (doc_id))"""
 
 # Same, as paths: the directory follows from the language.
@@ -107,10 +110,11 @@ def document_path() -> Column:
 
 
 def job_name() -> Column:
-    return F.concat("source", F.lit("/"), "lang")
+    size = F.floor(F.col("n_chars") / 500).cast("string")
+    return F.concat("source", F.lit("/"), "lang", F.lit("/"), size)
 
 
-def hashed_documents(t: Tables, content: Column) -> DataFrame:
+def hashed_documents(t: Tables, **contents: Column) -> DataFrame:
     """Texts are hashed in the scan, so that only digests travel through the joins."""
     return t.documents.select(
         "doc_id",
@@ -118,21 +122,23 @@ def hashed_documents(t: Tables, content: Column) -> DataFrame:
         "lang",
         job_name().alias("job"),
         document_path().alias("path"),
-        F.sha2(content, 256).alias("hash"),
+        *[F.sha2(c, 256).alias(name) for name, c in contents.items()],
     )
 
 
 def current_documents(t: Tables) -> DataFrame:
     toxic = t.labels.where(F.col("toxic") == 1)
-    return hashed_documents(t, F.col("text")).join(toxic, "doc_id", "left_anti")
+    return hashed_documents(t, hash=F.col("text")).join(toxic, "doc_id", "left_anti")
 
 
 def previous_documents(t: Tables) -> DataFrame:
-    collapsed = F.regexp_replace("text", r"[ \t\r\n]+", " ")
+    joined = F.replace("text", F.lit("\n"), F.lit(" "))
+    good = F.col("quality") == 1
     return (
-        hashed_documents(t, collapsed)
+        hashed_documents(t, whole=F.col("text"), joined=joined)
         .join(t.labels, "doc_id")
-        .withColumn("lang", F.when(F.col("quality") == 1, F.col("lang")))
+        .withColumn("lang", F.when(good, F.col("lang")))
+        .withColumn("hash", F.when(good, F.col("whole")).otherwise(F.col("joined")))
         .select("doc_id", "job", "path", "source", "lang", "quality", "hash")
     )
 
@@ -140,9 +146,8 @@ def previous_documents(t: Tables) -> DataFrame:
 def document_refs(t: Tables) -> DataFrame:
     """Labelled documents as references: good ones are samples, toxic ones also specs."""
     labelled = (
-        t.documents.select("doc_id", "source", "lang")
+        t.documents.select("doc_id", job_name().alias("job"), document_path().alias("path"))
         .join(t.labels, "doc_id")
-        .select("quality", "toxic", job_name().alias("job"), document_path().alias("path"))
     )
     categories = F.array_compact(
         F.array(

@@ -11,6 +11,7 @@ from tablehandoff.plans import decisions
 from tablehandoff.registry.base import (
     SNAPSHOTS,
     SQL_DIR,
+    SQL_JOB,
     Tables,
     current_documents,
     document_path,
@@ -21,14 +22,14 @@ from tablehandoff.registry.base import (
 )
 
 # What the SQL sides share: changed documents with their category, then affected items.
-CHANGES = rf"""{SNAPSHOTS},
+CHANGES = f"""{SNAPSHOTS},
 diff AS (
   SELECT coalesce(cur.doc_id, prev.doc_id) AS doc_id,
     CASE WHEN prev.doc_id IS NULL THEN 'added' WHEN cur.doc_id IS NULL THEN 'removed'
          ELSE 'modified' END AS change
   FROM cur FULL JOIN prev ON cur.doc_id = prev.doc_id WHERE cur.h IS DISTINCT FROM prev.h),
 classified AS (
-  SELECT diff.doc_id, source || '/' || d.lang AS job, {SQL_DIR} || '/' || diff.doc_id AS path, change,
+  SELECT diff.doc_id, {SQL_JOB} AS job, {SQL_DIR} || '/' || diff.doc_id AS path, change,
     CASE WHEN toxic = 1 THEN 'specs' WHEN quality = 1 THEN 'samples'
       WHEN d.lang = 'en' THEN 'sql' WHEN d.lang = 'de' THEN 'destination'
       WHEN d.lang = 'es' THEN 'testing' ELSE 'specs' END AS category
@@ -86,14 +87,14 @@ def impact_route(t: Tables) -> DataFrame:
     return routed(t).withColumn("items", F.concat_ws(",", "items"))
 
 
-SQL_ALLOWED = """CASE WHEN job LIKE '%/en' OR job LIKE '%/fr' THEN ['mulesoft', 'ords', 'tests']
+SQL_ALLOWED = """CASE WHEN job LIKE '%/en/%' OR job LIKE '%/fr/%' THEN ['mulesoft', 'ords', 'tests']
   ELSE ['mulesoft', 'tests'] END"""
 
 
 def allowed_items() -> Column:
     everything = F.array(*[F.lit(i) for i in snapshots.OUTPUTS])
     without_load = F.array(*[F.lit(i) for i in snapshots.OUTPUTS if i != "ords"])
-    return F.when(F.col("job").rlike("/(en|fr)$"), everything).otherwise(without_load)
+    return F.when(F.col("job").rlike("/(en|fr)/"), everything).otherwise(without_load)
 
 
 @query(f"""WITH {CHANGES} SELECT job, array_to_string(
@@ -112,7 +113,7 @@ def skipped_set(t: Tables) -> DataFrame:
     )
 
 
-# One job per source and language. Outputs exist for jobs that had a good document; the
+# Outputs exist for jobs that had a good document; the
 # number of bad documents stands for the testing block of the manifest.
 AFFECTED = f"""{CHANGES},
 jobs AS (SELECT job, bool_and(job NOT IN (SELECT job FROM prev)) AS first_run FROM cur GROUP BY job),
@@ -124,7 +125,7 @@ hits AS (SELECT DISTINCT job, item, category FROM (
     UNION ALL SELECT job, 'testing' FROM low WHERE n_old <> n_new) JOIN impact USING (category)),
 reasoned AS (
   SELECT job, item, first_run,
-    item <> 'ords' OR job LIKE '%/en' OR job LIKE '%/fr' AS applicable,
+    item <> 'ords' OR job LIKE '%/en/%' OR job LIKE '%/fr/%' AS applicable,
     (SELECT string_agg(category, ',' ORDER BY category) FROM hits h
       WHERE h.job = j.job AND h.item = i.item) AS cats,
     job IN (SELECT job FROM prev WHERE lang IS NOT NULL) AS recorded
@@ -172,23 +173,23 @@ def affected_outputs(t: Tables) -> DataFrame:
     return affected(t).withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
-@query(f"""WITH {AFFECTED}, m AS (SELECT *, job LIKE '%/es' OR job LIKE '%/fr' AS deploy FROM affected)
+@query(f"""WITH {AFFECTED}, m AS (SELECT *, job LIKE '%/es/%' OR job LIKE '%/fr/%' AS deploy FROM affected)
 SELECT job, item,
   CASE WHEN state = 'not applicable' THEN 'skip'
     WHEN item = 'ords' THEN if(state = 'stale', 'generate', 'skip')
     WHEN item = 'mulesoft' THEN if(state <> 'stale', 'skip',
-      if(job LIKE '%/de', 'workspace-edit', 'generate-new-flow'))
+      if(job LIKE '%/de/%', 'workspace-edit', 'generate-new-flow'))
     ELSE if(deploy, 'run-tests', if(state = 'stale', 'generate', 'skip')) END AS action,
   CASE WHEN state = 'not applicable' THEN 'not applicable to this job'
     WHEN item = 'ords' THEN if(state = 'stale', 'load inputs changed or first run', 'load inputs unchanged')
     WHEN item = 'mulesoft' THEN if(state <> 'stale', 'delivery inputs unchanged',
-      if(job LIKE '%/de', 'target is set: edit the existing flow', 'no target named: new flow'))
+      if(job LIKE '%/de/%', 'target is set: edit the existing flow', 'no target named: new flow'))
     WHEN deploy THEN if(state = 'stale', 'deploy mode: inputs changed, renew and run', 'deploy mode: always run')
     ELSE if(state = 'stale', 'test inputs changed', 'test inputs unchanged') END AS reason
 FROM m""")
 def label_actions(t: Tables) -> DataFrame:
     rules = decisions.plan_rules(
-        F.col("item"), F.col("state"), F.col("job").rlike("/(es|fr)$"), F.col("job").endswith("/de")
+        F.col("item"), F.col("state"), F.col("job").rlike("/(es|fr)/"), F.contains("job", F.lit("/de/"))
     )
     return decisions.label_actions(affected(t), ["job", "item"], rules)
 
@@ -203,7 +204,7 @@ def fingerprint_exact(t: Tables) -> DataFrame:
 
 
 LIMBS = ", ".join(
-    f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT)::VARCHAR AS s{i}" for i in range(8)
+    f"sum(('0x' || substr(h, {at}, 6))::BIGINT)::VARCHAR AS s{i}" for i, at in enumerate(range(1, 65, 6))
 )
 
 
@@ -211,7 +212,7 @@ LIMBS = ", ".join(
   FROM documents),
 s AS (SELECT source, count(*) AS n, {LIMBS} FROM d GROUP BY source)
 SELECT source, n, 'sum' AS form,
-  'sha256:' || sha256(concat_ws(':', n::VARCHAR, s0, s1, s2, s3, s4, s5, s6, s7)) AS fingerprint FROM s""")
+  'sha256:' || sha256(concat_ws(':', n::VARCHAR, {", ".join(f"s{i}" for i in range(11))})) AS fingerprint FROM s""")
 def fingerprint_sum(t: Tables) -> DataFrame:
     """The form used for groups too large for a sorted list, here for every group."""
     hashed = t.documents.withColumn("h", F.sha2("text", 256))
@@ -223,7 +224,7 @@ def content_hash(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.content_hash(F.col("text")).alias("hash"))
 
 
-@query("""SELECT source || '/' || lang AS job,
+@query(f"""SELECT {SQL_JOB} AS job,
   bool_or(coalesce(toxic, 0) = 1 OR length(text) > 8000) AS confident
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1""")
 def confidence_flag(t: Tables) -> DataFrame:
@@ -234,11 +235,11 @@ def confidence_flag(t: Tables) -> DataFrame:
     return assertions.confidence_flag(docs.select("job").distinct(), asserted, long)
 
 
-@query("""SELECT source, bool_and(length(text) <= 8000) AS passed FROM documents GROUP BY 1""")
+@query(f"""SELECT {SQL_JOB} AS job, bool_and(length(text) <= 8000) AS passed FROM documents GROUP BY 1""")
 def verdict(t: Tables) -> DataFrame:
-    """A text over the cap fails its source; French texts have no result."""
+    """A text over the cap fails its job; French texts have no result."""
     result = F.when(text.over_cap(F.col("text")), "fail").when(F.col("lang") == "fr", "").otherwise("pass")
-    return assertions.verdict(t.documents.select("source", result.alias("result")), ["source"])
+    return assertions.verdict(t.documents.select(job_name().alias("job"), result.alias("result")), ["job"])
 
 
 @query("""WITH e AS (SELECT event_id, CASE WHEN value < 2 THEN '  ' WHEN event_type = 'click'

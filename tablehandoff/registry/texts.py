@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablehandoff.functions import text
 from tablehandoff.operators import contract, markup, rows, sections, sensitive
-from tablehandoff.registry.base import Tables, query, sql_strip
+from tablehandoff.registry.base import SQL_JOB, Tables, job_name, query, sql_strip
 from tablehandoff.sinks import report
 
 LINE_BREAK = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
@@ -138,22 +138,23 @@ def concat_corpus_parts(t: Tables) -> DataFrame:
     return sections.concat_corpus(turns, ["conv_id"], "path", "text", ["turn"], part_chars=2_000)
 
 
-@query("""WITH s AS (SELECT source, lang, doc_id, quality IS NOT NULL AS labelled,
+@query(f"""WITH s AS (SELECT {SQL_JOB} AS job, doc_id, quality IS NOT NULL AS labelled,
     chr(10) || '## doc ' || d.doc_id || chr(10) || '```' || chr(10) || text || chr(10) || '```' AS b
   FROM documents d LEFT JOIN labels l USING (doc_id)),
-a AS (SELECT source, lang, count(*) AS sections, (sum(length(b) + 1) - 1)::BIGINT AS chars,
+a AS (SELECT job, count(*) AS sections, (sum(length(b) + 1) - 1)::BIGINT AS chars,
     string_agg(b, chr(10) ORDER BY labelled DESC, doc_id) AS text FROM s GROUP BY ALL)
-SELECT source, lang, sections, chars, CASE WHEN chars <= 48000 THEN text END AS text,
+SELECT job, sections, chars, CASE WHEN chars <= 48000 THEN text END AS text,
   CASE WHEN chars > 48000 THEN 'assembled text is ' || chars || ' chars, over the 48000-char cap' END AS problem
 FROM a""")
 def group_sections(t: Tables) -> DataFrame:
-    """Labelled documents as load files, the others as specs, per source and language."""
+    """Labelled documents as load files, the others as specs, per job."""
     known = t.labels.select("doc_id", F.lit("sql").alias("kind"))
-    docs = t.documents.join(known, "doc_id", "left").withColumn(
-        "kind", F.coalesce("kind", F.lit("specs"))
-    )
-    titled = docs.withColumn("title", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
-    return sections.group_sections(titled, ["source", "lang"], "kind", "doc_id", "title", "text")
+    docs = t.documents.select("doc_id", job_name().alias("job"), "text").join(known, "doc_id", "left")
+    titled = docs.withColumns({
+        "kind": F.coalesce("kind", F.lit("specs")),
+        "title": F.concat(F.lit("doc "), F.col("doc_id").cast("string")),
+    })
+    return sections.group_sections(titled, ["job"], "kind", "doc_id", "title", "text")
 
 
 def hits(t: Tables) -> DataFrame:

@@ -82,16 +82,16 @@ def ordered_runs(
     keys: Sequence[str],
     order_by: Sequence[str],
     limit: int = GROUP_LIMIT,
-) -> tuple[DataFrame, bool]:
-    """Adds ``_run``: inside a group, all rows of a run sort before those of the next run.
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of groups up to ``limit`` rows, rows of the heavier groups with ``_run``).
 
-    Groups up to ``limit`` rows are one run. Heavier ones are range-partitioned by
-    (keys, order) and every partition is a run; the checkpoint fixes the range bounds, so
-    a lost executor cannot move a row to another run. Also returns whether any was cut.
+    Inside a heavy group all rows of a run sort before those of the next run: the groups
+    are range-partitioned by (keys, order) and every partition is a run. The checkpoint
+    fixes the range bounds, so a lost executor cannot move a row to another run.
     """
     heavy = heavy_groups(df, keys, limit)
     if heavy is None:
-        return df.withColumn("_run", F.lit(0)), False
+        return df, None
     checkpoint_folder(df.sparkSession)
     light, hot = split_heavy(df, keys, heavy)
     hot = (
@@ -99,7 +99,17 @@ def ordered_runs(
         .withColumn("_run", F.spark_partition_id())
         .checkpoint()
     )
-    return light.withColumn("_run", F.lit(0)).unionByName(hot), True
+    return light, hot
+
+
+def _per_run(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A table with about one row per run, to be joined to the rows of the runs.
+
+    There are hardly more rows than partitions; it is broadcast once that is checked.
+    """
+    df = renamed_keys(df, [*keys, "_run"])
+    rows = bounded(df)
+    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def running_total(
@@ -114,32 +124,31 @@ def running_total(
 
     ``order_by`` must be unique inside a group.
     """
-    runs, cut = ordered_runs(df.withColumn("_w", weight.cast("long")), keys, order_by, limit)
-    inside = (
-        Window.partitionBy(*keys, "_run")
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    light, hot = ordered_runs(df.withColumn("_w", weight.cast("long")), keys, order_by, limit)
+
+    def before(*group: str) -> Column:
+        rows = Window.unboundedPreceding, -1
+        w = Window.partitionBy(*group).orderBy(*order_by).rowsBetween(*rows)
+        return F.coalesce(F.sum("_w").over(w), F.lit(0))
+
+    out = light.withColumn(name, before(*keys)).select(*df.columns, name)
+    if hot is None:
+        return out
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = _per_run(
+        hot.groupBy(*keys, "_run")
+        .agg(F.sum("_w").alias("_total"))
+        .withColumn("_start", F.sum("_total").over(earlier))
+        .where(F.col("_start").isNotNull())
+        .drop("_total"),
+        keys,
     )
-    out = runs.withColumn(name, F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    if cut:
-        # One row per group and run: a group has no more runs than there are partitions.
-        before = (
-            Window.partitionBy(*keys)
-            .orderBy("_run")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        starts = (
-            runs.groupBy(*keys, "_run")
-            .agg(F.sum("_w").alias("_total"))
-            .withColumn("_start", F.sum("_total").over(before))
-            .where(F.col("_start").isNotNull())
-            .drop("_total")
-        )
-        starts = renamed_keys(starts, [*keys, "_run"])
-        out = out.join(starts, same_keys(out, starts, [*keys, "_run"]), "left").withColumn(
-            name, F.col(name) + F.coalesce("_start", F.lit(0))
-        )
-    return out.select(*df.columns, name)
+    placed = hot.withColumn(name, before(*keys, "_run"))
+    placed = placed.join(starts, same_keys(placed, starts, [*keys, "_run"]), "left")
+    total = F.col(name) + F.coalesce("_start", F.lit(0))
+    return out.unionByName(placed.withColumn(name, total).select(*df.columns, name))
 
 
 def next_in_group(
@@ -150,24 +159,33 @@ def next_in_group(
     name: str,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Adds ``name``: value of ``column`` in the next row of the group (null in the last)."""
-    runs, cut = ordered_runs(df, keys, order_by, limit)
-    inside = Window.partitionBy(*keys, "_run").orderBy(*order_by)
-    out = runs.withColumn(name, F.lead(column).over(inside))
-    if cut:
-        # The last row of a run continues with the first row of the next run.
-        heads = (
-            runs.groupBy(*keys, "_run")
-            .agg(F.min_by(column, F.struct(*order_by)).alias("_head"),
-                 F.max(F.struct(*order_by)).alias("_last"))
-            .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_run")))
-            .where(F.col("_next_head").isNotNull())
-            .drop("_head")
-        )
-        heads = renamed_keys(heads, [*keys, "_run"])
-        cond = same_keys(out, heads, [*keys, "_run"]) & (F.struct(*order_by) == F.col("_last"))
-        out = out.join(heads, cond, "left").withColumn(name, F.coalesce(name, F.col("_next_head")))
-    return out.select(*df.columns, name)
+    """Adds ``name``: value of ``column`` in the next row of the group (null in the last).
+
+    ``order_by`` must be unique inside a group.
+    """
+    light, hot = ordered_runs(df, keys, order_by, limit)
+
+    def following(*group: str) -> Column:
+        return F.lead(column).over(Window.partitionBy(*group).orderBy(*order_by))
+
+    out = light.withColumn(name, following(*keys))
+    if hot is None:
+        return out
+    # The last row of a run continues with the first row of the next run.
+    order = F.struct(*order_by)
+    heads = _per_run(
+        hot.groupBy(*keys, "_run")
+        .agg(F.min_by(column, order).alias("_head"), F.max(order).alias("_last"))
+        .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_run")))
+        .where(F.col("_next_head").isNotNull())
+        .drop("_head"),
+        keys,
+    )
+    placed = hot.withColumn(name, following(*keys, "_run"))
+    last = same_keys(placed, heads, [*keys, "_run"]) & (order == F.col("_last"))
+    placed = placed.join(heads, last, "left")
+    placed = placed.withColumn(name, F.coalesce(name, F.col("_next_head")))
+    return out.unionByName(placed.select(*df.columns, name))
 
 
 def with_position(

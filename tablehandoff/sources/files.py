@@ -45,33 +45,55 @@ def read_delimited(
     sep: str = ",",
     multiline: bool = False,
     keep_corrupt: bool = False,
+    check_header: bool = False,
 ) -> DataFrame:
     """Rows of a delimited file. ``multiline`` allows line breaks inside quoted values,
-    at the price of reading every file in one task."""
+    at the price of reading every file in one task; ``check_header`` makes a header that
+    does not name the columns an error."""
     return (
         spark.read.schema(_with_corrupt(_schema(schema), keep_corrupt))
         .option("header", header)
         .option("sep", sep)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("enforceSchema", "true")
+        .option("enforceSchema", not check_header)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 
 
 def parse_fixed(line: Column, layout: Sequence[FixedColumn]) -> list[Column]:
-    out, start = [], 1
+    """The typed cells of a line, then ``_corrupt``: the line itself if it does not fit the
+    layout (wrong width, or a cell that is not of its type)."""
+    cells, wrong, start = [], F.length(line) != sum(c.width for c in layout), 1
     for col in layout:
         raw = F.substring(line, start, col.width)
         cut = F.rtrim(raw, F.lit(col.pad)) if col.align == "left" else F.ltrim(raw, F.lit(col.pad))
-        out.append(F.nullif(cut, F.lit("")).cast(col.type).alias(col.name))
+        text_cell = F.nullif(cut, F.lit(""))
+        cell = text_cell.try_cast(col.type)
+        wrong = wrong | (text_cell.isNotNull() & cell.isNull())
+        cells.append(cell.alias(col.name))
         start += col.width
-    return out
+    return [*cells, F.when(wrong, line).alias(CORRUPT)]
 
 
-def read_fixed(spark: SparkSession, path: str | list[str], layout: Sequence[FixedColumn]) -> DataFrame:
-    return spark.read.text(path).select(*parse_fixed(F.col("value"), layout))
+def read_fixed(
+    spark: SparkSession,
+    path: str | list[str],
+    layout: Sequence[FixedColumn],
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    rows = spark.read.text(path).select(*parse_fixed(F.col("value"), layout))
+    return rows if keep_corrupt else rows.drop(CORRUPT)
+
+
+def corrupt(df: DataFrame) -> Column:
+    """The record of this row did not parse (``df`` read with ``keep_corrupt``).
+
+    The values take part as a zero: a reader parses only the columns that are used.
+    """
+    values = F.xxhash64(*[c for c in df.columns if c != CORRUPT])
+    return F.col(CORRUPT).isNotNull() & (F.pmod(values, F.lit(1)) == 0)
 
 
 def read_json_file(
@@ -103,6 +125,31 @@ def read_xml_file(
     )
 
 
+def read_format(
+    spark: SparkSession,
+    paths: str | list[str],
+    fmt: str,
+    schema: str | T.StructType | None = None,
+    row_tag: str = "row",
+    layout: Sequence[FixedColumn] = (),
+    header: bool = True,
+    keep_corrupt: bool = False,
+    check_header: bool = False,
+) -> DataFrame:
+    """Rows of files in one of the delivery formats."""
+    if fmt == "csv":
+        return read_delimited(
+            spark, paths, schema, header, keep_corrupt=keep_corrupt, check_header=check_header
+        )
+    if fmt == "json":
+        return read_json_file(spark, paths, schema, keep_corrupt)
+    if fmt == "xml":
+        return read_xml_file(spark, paths, schema, row_tag, keep_corrupt)
+    if fmt == "fixed":
+        return read_fixed(spark, paths, layout, keep_corrupt)
+    raise ValueError(f"unknown file format '{fmt}'")
+
+
 def _relative(path: Column, root: str) -> Column:
     """Path below ``root``; the scheme in front (``file:``, ``hdfs://host``) may differ."""
     clean = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^[a-z0-9]+:(//[^/]*)?", "")

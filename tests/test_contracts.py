@@ -105,6 +105,9 @@ def test_default_connections(spark):
     manifest = {k: v for k, v in BASE.items() if k != "connections"}
     df = manifests.parse_manifests(spark.createDataFrame([("j", json.dumps(manifest))], "job string, header string"))
     assert sorted(r.name for r in manifests.used_connections(df).collect()) == ["mule_dev", "oracle_dev", "sftp_dev"]
+    bare = spark.createDataFrame([("j", json.dumps(changed(sources={"sql": []})))], "job string, header string")
+    names = manifests.used_connections(manifests.parse_manifests(bare)).collect()
+    assert sorted(r.name for r in names) == ["mule_repo_dev", "sftp_dev"]
     refs = manifests.referenced_files(df).orderBy("seq").collect()
     assert [r.path for r in refs] == FILES
 

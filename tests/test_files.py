@@ -183,6 +183,17 @@ def test_file_lines(spark, tmp_path):
     assert [r.line for r in lines.collect()] == ["one", "two", "three"]
 
 
+def test_sample_lines(spark, tmp_path):
+    from tablehandoff.operators.rows import sample_lines
+
+    (tmp_path / "long.csv").write_text("".join(f"row{i}\n" for i in range(50)))
+    (tmp_path / "short.csv").write_text("a\nb\n")
+    head, totals = sample_lines(files.file_lines(spark, str(tmp_path)))
+    long = head.where("file = 'long.csv'").orderBy("line_no").collect()
+    assert [r.line for r in long] == [f"row{i}" for i in range(20)]
+    assert rows(totals) == [("long.csv", 50, True), ("short.csv", 2, False)]
+
+
 def test_jdbc_url():
     base = {"host": "h", "port": "1533"}
     assert relational.jdbc_url({**base, "sid": "S"}) == "jdbc:oracle:thin:@h:1533:S"

@@ -118,6 +118,30 @@ def test_upload_checks_before_it_writes(spark, folder):
     assert not os.path.exists(f"{folder}/STG_UP")
 
 
+@pytest.mark.parametrize(
+    "fmt, body, problem",
+    [
+        ("csv", "k,n\na,1\nb,x\n", r"does not parse \(1 rows\)"),
+        ("json", '{"k": "a", "n": 1}\n{oops\n', "does not parse"),
+        ("xml", "<rows><row><k>a</k><n>x</n></row></rows>", "does not parse"),
+        ("fixed", "aaaa0001\nbbbb00x1\n", "does not parse"),
+        ("fixed", "aaaa0001\nshort\n", "does not parse"),
+    ],
+)
+def test_upload_of_broken_records(spark, folder, fmt, body, problem):
+    Path(folder, "in").write_text(body)
+    layout = [FixedColumn("k", 4), FixedColumn("n", 4, "int", "right", "0")]
+    with pytest.raises(ContractError, match=problem):
+        run_upload(spark, f"{folder}/in", fmt, "k STRING, n INT", "up", folder, "1", layout=layout)
+    assert not os.path.exists(f"{folder}/STG_UP")
+
+
+def test_upload_checks_the_header(spark, folder):
+    Path(folder, "in").write_text("n,k\n1,a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        run_upload(spark, f"{folder}/in", "csv", "k STRING, n STRING", "up", folder, "1")
+
+
 def test_golden_lengths_and_columns(spark):
     one = spark.createDataFrame([("a", 1)], "k string, v int")
     two = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")

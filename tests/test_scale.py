@@ -57,9 +57,10 @@ def test_next_in_group(skewed, limit):
 def test_runs_are_bounded(spark):
     data = [("hot", i) for i in range(2000)] + [("cold", i) for i in range(10)]
     df = spark.createDataFrame(data, "k string, at int")
-    runs, cut = scale.ordered_runs(df, ["k"], ["at"], 100)
-    biggest = runs.groupBy("k", "_run").count().agg(F.max("count")).first()[0]
-    assert cut and biggest <= 1000 and runs.count() == 2010
+    light, hot = scale.ordered_runs(df, ["k"], ["at"], 100)
+    biggest = hot.groupBy("k", "_run").count().agg(F.max("count")).first()[0]
+    assert biggest <= 1000 and (light.count(), hot.count()) == (10, 2000)
+    assert scale.ordered_runs(df, ["k"], ["at"], 2000)[1] is None
 
 
 def test_position(skewed):
