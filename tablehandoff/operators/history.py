@@ -26,8 +26,11 @@ def capped_history(
     """The newest ``cap`` versions per key with ``version`` 0 for the newest.
 
     The rank limit is pushed below the shuffle: a map task sends at most ``cap`` rows per
-    key, whatever the size of the key.
+    key, whatever the size of the key. Caps too high for that count in ordered runs.
     """
+    if cap > TOP_LIMIT:
+        ranked = running_total(df, keys, _newest_first(order_by), F.lit(1), "version")
+        return ranked.where(F.col("version") < cap)
     w = Window.partitionBy(*keys).orderBy(*_newest_first(order_by))
     ranked = df.withColumn("version", F.row_number().over(w))
     return ranked.where(F.col("version") <= cap).withColumn(
@@ -35,22 +38,6 @@ def capped_history(
     )
 
 
-def _nth_newest(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int
-) -> DataFrame:
-    if n < TOP_LIMIT:
-        return capped_history(df, keys, order_by, n + 1).where(F.col("version") == n)
-    # Too deep for the rank limit: count from the oldest in ordered runs instead.
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(df, keys, order_by, F.lit(1), "_older")
-    return (
-        placed.join(sizes.where(F.col("_n") > n), list(keys))
-        .where(F.col("_n") - 1 - F.col("_older") == n)
-        .drop("_n", "_older")
-        .withColumn("version", F.lit(n).cast("long"))
-    )
-
-
 def version_at(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,7 +56,8 @@ def version_at(
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("versions"))
     if wanted is not None:
         sizes = wanted.select(*keys).distinct().join(sizes, list(keys), "left")
-    nth = _nth_newest(df, keys, order_by, n).withColumn("_found", F.lit(True)).drop("version")
+    nth = capped_history(df, keys, order_by, n + 1).where(F.col("version") == n)
+    nth = nth.withColumn("_found", F.lit(True)).drop("version")
     out = sizes.join(nth, list(keys), "left")
     status = F.when(F.coalesce("versions", F.lit(0)) == 0, NO_HISTORY).when(
         F.col("_found").isNull(), OUT_OF_RANGE

@@ -80,7 +80,7 @@ def split_heavy(
 def ordered_runs(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str],
+    order_by: Sequence[str | Column],
     limit: int = GROUP_LIMIT,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of groups up to ``limit`` rows, rows of the heavier groups with ``_run``).
@@ -115,14 +115,14 @@ def _per_run(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str],
+    order_by: Sequence[str | Column],
     weight: Column,
     name: str,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Adds ``name``: sum of ``weight`` over the rows of the group that sort before.
 
-    ``order_by`` must be unique inside a group.
+    ``order_by`` must be unique inside a group; it may hold descending columns.
     """
     light, hot = ordered_runs(df.withColumn("_w", weight.cast("long")), keys, order_by, limit)
 

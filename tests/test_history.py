@@ -27,7 +27,9 @@ def newest(data):
     return out
 
 
-def test_capped_history(versions):
+@pytest.mark.parametrize("top_limit", [1000, 0])
+def test_capped_history(versions, top_limit, monkeypatch):
+    monkeypatch.setattr(history, "TOP_LIMIT", top_limit)
     df, data = versions
     got = history.capped_history(df, ["k"], ["ts", "id"])
     want = [(*r, i) for rs in newest(data).values() for i, r in enumerate(rs[:10])]

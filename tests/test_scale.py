@@ -44,6 +44,13 @@ def test_running_total(skewed, limit):
     assert rows(out) == sorted(want, key=lambda r: tuple(str(x) for x in r))
 
 
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_running_total_descending(skewed, limit):
+    out = scale.running_total(skewed, ["k"], [F.col("at").desc()], F.lit(1), "rank", limit)
+    want = [(*r, i) for group in by_group() for i, r in enumerate(reversed(group))]
+    assert rows(out) == sorted(want, key=lambda r: tuple(str(x) for x in r))
+
+
 @pytest.mark.parametrize("limit", [10, 40, 1000])
 def test_next_in_group(skewed, limit):
     out = scale.next_in_group(skewed, ["k"], ["at"], "at", "following", limit)
