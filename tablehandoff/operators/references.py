@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehandoff.scale import bounded
+from tablehandoff.scale import anti_join, bounded
 
 # Names a registry may hold; it is configuration and appears whole in messages.
 REGISTRY_NAMES = 10_000
@@ -28,7 +28,7 @@ def unreferenced(
     """Targets nothing refers to; rows for which ``exempt`` holds are never reported."""
     if exempt is not None:
         present = present.where(~F.coalesce(exempt, F.lit(False)))
-    return present.join(refs.select(*keys).distinct(), list(keys), "left_anti")
+    return anti_join(present, refs, keys)
 
 
 def known_names(df: DataFrame, name: str) -> list[str]:
@@ -57,7 +57,7 @@ def unset_required(
     """
     rest = [c for c in decls.columns if c != declared]
     wanted = decls.select(*rest, F.explode(F.map_values(declared)).alias(name))
-    return wanted.join(set_names.select(name).distinct(), name, "left_anti")
+    return anti_join(wanted, set_names, [name])
 
 
 def merge_maps(base: Column, override: Column, without: Sequence[str] = ()) -> Column:

@@ -11,6 +11,7 @@ from tablehandoff.functions.state import TEXT, flatten_refs, struct_of
 from tablehandoff.operators import contract
 from tablehandoff.operators.snapshots import unpivot_fields
 from tablehandoff.plans.decisions import quality_report
+from tablehandoff.scale import broadcast_if_bounded
 
 _LIST = T.ArrayType(struct_of("file", "role"))
 # The closed schema of a manifest.
@@ -165,11 +166,11 @@ def manifest_report(
     )
     head, tail = UNSET.split("{name}")
     declared = connections.select("name", F.explode(F.map_values("secrets")).alias("variable"))
-    unset = (
-        declared.join(
-            set_names.select(F.col("name").alias("variable")).distinct(), "variable", "left_anti"
-        )
-        .join(used, "name")
-        .select("job", F.concat(F.lit(head), "variable", F.lit(tail)).alias("message"))
+    unset = declared.join(
+        set_names.select(F.col("name").alias("variable")).distinct(), "variable", "left_anti"
+    )
+    # Most jobs share a few connections, and those are hot keys; the registry is bounded.
+    unset = used.join(broadcast_if_bounded(unset)[0], "name").select(
+        "job", F.concat(F.lit(head), "variable", F.lit(tail)).alias("message")
     )
     return quality_report("job", broken, [absent, unknown, unset], [orphans])

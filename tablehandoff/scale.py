@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from tablehandoff.session import checkpoint_folder
 
 # Rows one group may bring into one task as a list or a window.
 GROUP_LIMIT = 100_000
+# Rows one join key may bring into one task.
+JOIN_LIMIT = 1_000_000
 # Rows a table may have to be collected and broadcast.
 BROADCAST_ROWS = 10_000
 
@@ -45,36 +48,75 @@ def renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"_k_{k}" for k in keys})
 
 
+class Heavy(NamedTuple):
+    """Keys (renamed ``_k_*``) of heavy groups; ``small`` if they are few enough to broadcast."""
+
+    keys: DataFrame
+    small: bool
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` as a broadcast side and True if it has at most ``max_rows`` rows, else itself."""
+    rows = bounded(df, max_rows)
+    if rows is None:
+        return df, False
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+
+
 def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
     limit: int = GROUP_LIMIT,
     weight: Column | None = None,
-) -> DataFrame | None:
-    """Keys (renamed ``_k_*``) of the groups above ``limit`` rows or weight; None if none.
+) -> Heavy | None:
+    """The groups above ``limit`` rows (or weight), None if there are none.
 
     Counting combines on the map side and reads only the key columns. There are at most
     rows / limit such groups; up to BROADCAST_ROWS of them come back as a broadcast side,
     beyond that as a checkpointed table which joins by shuffle (split by skew handling).
     """
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    heavy = renamed_keys(
+    found = renamed_keys(
         df.groupBy(*keys).agg(size.alias("_size")).where(F.col("_size") > limit).select(*keys),
         keys,
     )
-    rows = bounded(heavy)
+    rows = bounded(found)
     if rows is None:
         checkpoint_folder(df.sparkSession)
-        return heavy.checkpoint()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, heavy.schema)) if rows else None
+        return Heavy(found.checkpoint(), False)
+    if not rows:
+        return None
+    return Heavy(F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)), True)
 
 
-def split_heavy(
-    df: DataFrame, keys: Sequence[str], heavy: DataFrame
-) -> tuple[DataFrame, DataFrame]:
+def split_heavy(df: DataFrame, keys: Sequence[str], heavy: Heavy) -> tuple[DataFrame, DataFrame]:
     """(rows of the other groups, rows of the heavy groups)."""
-    cond = same_keys(df, heavy, keys)
-    return df.join(heavy, cond, "left_anti"), df.join(heavy, cond, "left_semi")
+    cond = same_keys(df, heavy.keys, keys)
+    return df.join(heavy.keys, cond, "left_anti"), df.join(heavy.keys, cond, "left_semi")
+
+
+def anti_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int = JOIN_LIMIT
+) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``; both sides may have hot keys.
+
+    A bounded set of keys is broadcast. Otherwise the distinct keys are joined by shuffle,
+    and rows of hot left keys stay where they are: for those the few matching keys are
+    broadcast. (Skew handling does not split a join against an aggregate.)
+    """
+    known, small = broadcast_if_bounded(right.select(*keys).distinct())
+    if small:
+        return left.join(known, list(keys), "left_anti")
+    heavy = heavy_groups(left, keys, limit)
+    if heavy is None:
+        return left.join(known, list(keys), "left_anti")
+    light, hot = split_heavy(left, keys, heavy)
+    matching = split_heavy(right.select(*keys), keys, heavy)[1].distinct()
+    if heavy.small:
+        matching = F.broadcast(matching)
+    return light.join(known, list(keys), "left_anti").unionByName(
+        hot.join(matching, list(keys), "left_anti")
+    )
 
 
 def ordered_runs(
@@ -107,9 +149,7 @@ def _per_run(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     There are hardly more rows than partitions; it is broadcast once that is checked.
     """
-    df = renamed_keys(df, [*keys, "_run"])
-    rows = bounded(df)
-    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return broadcast_if_bounded(renamed_keys(df, [*keys, "_run"]))[0]
 
 
 def running_total(

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehandoff.scale import bounded
 from tablehandoff.session import checkpoint_folder
 from tablehandoff import storage
 
@@ -77,9 +78,13 @@ def write_upsert(
     spark = updates.sparkSession
     checkpoint_folder(spark)
     if storage.exists(spark, path):
-        touched = updates.select(F.col(partition).alias("_touched")).distinct()
+        touched = updates.select(partition).distinct()
         current = spark.read.parquet(path)
-        current = current.join(touched, F.col(partition) == F.col("_touched"), "left_semi")
+        values = bounded(touched)
+        if values is not None:  # prunes the partitions to read
+            current = current.where(F.col(partition).isin([r[0] for r in values]))
+        else:
+            current = current.join(touched, partition, "left_semi")
         state = current.select(*updates.columns)
         merged = upsert_latest(state, updates, keys, seq).checkpoint()
     else:

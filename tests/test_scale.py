@@ -78,10 +78,10 @@ def test_position(skewed):
 
 def test_heavy_groups(skewed):
     found = scale.heavy_groups(skewed, ["k"], 30)
-    assert [r[0] for r in found.collect()] == ["hot"]
+    assert [r[0] for r in found.keys.collect()] == ["hot"]
     assert scale.heavy_groups(skewed, ["k"], 60) is None
     weighed = scale.heavy_groups(skewed, ["k"], 100, weight=F.col("w"))
-    assert [r[0] for r in weighed.collect()] == ["hot"]
+    assert [r[0] for r in weighed.keys.collect()] == ["hot"]
 
 
 def test_many_heavy_groups_are_not_collected(skewed, monkeypatch):
@@ -90,3 +90,17 @@ def test_many_heavy_groups_are_not_collected(skewed, monkeypatch):
     light, hot = scale.split_heavy(skewed, ["k"], found)
     assert light.count() + hot.count() == len(DATA)
     assert hot.where("k = 'hot'").count() == 60
+
+
+@pytest.mark.parametrize("case", ["broadcast", "plain", "heavy", "many heavy"])
+def test_anti_join(spark, skewed, monkeypatch, case):
+    right = spark.createDataFrame([("hot",), ("k1",), ("hot",), ("none",), (None,)], "k string")
+    want = [r for r in DATA if r[0] not in ("hot", "k1")]
+    if case != "broadcast":
+        monkeypatch.setattr(scale, "broadcast_if_bounded", lambda df: (df, False))
+    if case == "many heavy":
+        monkeypatch.setattr(scale, "bounded", lambda df: None)
+    out = scale.anti_join(skewed, right, ["k"], 1000 if case == "plain" else 15)
+    assert rows(out) == sorted(want, key=lambda r: tuple(str(x) for x in r))
+    hot_kept = scale.anti_join(skewed, right.where("k <> 'hot'"), ["k"], 15)
+    assert hot_kept.where("k = 'hot'").count() == 60
