@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff.operators import snapshots
-from tablehandoff.scale import anti_join
+from tablehandoff.scale import anti_join, broadcast_if_bounded
 
 STALE, CURRENT, NOT_APPLICABLE = "stale", "current", "not applicable"
 FIRST_RUN, NO_OUTPUT = "first run", "no output"
@@ -151,8 +151,9 @@ def quality_report(
     other checks for them. ``errors`` and ``warnings`` are (key, message).
     """
     out = broken.select(key, F.lit("error").alias("severity"), "message")
+    stopped, small = broadcast_if_bounded(broken.select(key).distinct())
     for severity, parts in (("error", errors), ("warning", warnings)):
         for part in parts:
-            kept = anti_join(part, broken, [key])
+            kept = part.join(stopped, key, "left_anti") if small else anti_join(part, broken, [key])
             out = out.unionByName(kept.select(key, F.lit(severity).alias("severity"), "message"))
     return out

@@ -47,9 +47,9 @@ def paginate(t: Tables) -> DataFrame:
     return rows.paginate(staged(t).select("o_orderkey"), ["o_orderkey"], 500)
 
 
-@query(f"WITH {STG} SELECT o_orderkey, c_custkey FROM stg ORDER BY o_orderkey LIMIT 500 OFFSET 1000")
+@query(f"WITH {STG} SELECT o_orderkey, c_custkey FROM stg ORDER BY o_orderkey LIMIT 200 OFFSET 200")
 def page_of_export(t: Tables) -> DataFrame:
-    return rows.page(staged(t).select("o_orderkey", "c_custkey"), ["o_orderkey"], 3, 500)
+    return rows.page(staged(t).select("o_orderkey", "c_custkey"), ["o_orderkey"], 2, 200)
 
 
 def download(t: Tables, fmt: str, ext: str) -> DataFrame:

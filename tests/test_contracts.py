@@ -18,14 +18,35 @@ FILES = ["sql/load_staging.sql", "sql/export_query.sql", "samples/expected_outpu
 SET = ["ORACLE_DEV_USER", "ORACLE_DEV_PASSWORD", "MULE_REPO_TOKEN", "SFTP_DEV_USER"]
 
 
-def report(spark, manifest=BASE, files=FILES, set_names=SET, text=None):
+
+def case(manifest=BASE, files=FILES, text=None):
     header = json.dumps(manifest) if isinstance(manifest, dict) else manifest
-    whole = f"---\n{header}\n---\nnotes" if text is None else text
-    jobs = spark.createDataFrame(
-        [("j", whole or None, header), ("fine", f"---\n{json.dumps(BASE)}\n---\n", json.dumps(BASE))],
-        "job string, text string, header string",
-    )
-    there = [("j", f) for f in files] + [("fine", f) for f in FILES]
+    return header, f"---\n{header}\n---\nnotes" if text is None else text or None, files
+
+
+CASES = {
+    "fine": case(),
+    "missing": case(None, [], ""),
+    "no block": case(None, text="just text"),
+    "name": case(changed(job_name="Student-Download!")),
+    "mode": case(changed(mode="yolo")),
+    "direction": case(changed(direction="sideways")),
+    "format": case(changed(destination={"file_format": "parquet"})),
+    "role": case(changed(sources={"sql": [{"file": "a", "role": "mystery_role"}]})),
+    "misplaced role": case(changed(sources={"specs": [{"file": "a", "role": "export"}]})),
+    "unknown field": case(changed(surprise=1)),
+    "unknown inner field": case(changed(destination={"folder": "x"})),
+    "three": case(changed(job_name="X", mode="yolo", surprise=1)),
+    "absent": case(files=FILES[:1] + FILES[2:]),
+    "orphan": case(files=[*FILES, "sql/orphan.sql", "tests/golden.csv"]),
+    "connection": case(changed(destination={"connection": "sftp_prod"})),
+}
+
+
+def run_report(spark, cases, set_names):
+    """{job: (errors, warnings)}"""
+    jobs = [(j, text, header) for j, (header, text, _) in cases.items()]
+    there = [(j, f) for j, (_, _, files) in cases.items() for f in files]
     connections = spark.createDataFrame(
         [("oracle_dev", {"user": "ORACLE_DEV_USER", "password": "ORACLE_DEV_PASSWORD"}),
          ("mule_repo_dev", {"token": "MULE_REPO_TOKEN"}), ("sftp_dev", {"user": "SFTP_DEV_USER"}),
@@ -33,72 +54,71 @@ def report(spark, manifest=BASE, files=FILES, set_names=SET, text=None):
         "name string, secrets map<string,string>",
     )
     out = manifests.manifest_report(
-        jobs, spark.createDataFrame(there, "job string, path string"), connections,
+        spark.createDataFrame(jobs, "job string, text string, header string"),
+        spark.createDataFrame(there, "job string, path string"), connections,
         spark.createDataFrame([(n,) for n in set_names], "name string"), KNOWN,
     ).collect()
-    mine = [r for r in out if r.job == "j"]
-    return [r.message for r in mine if r.severity == "error"], [r.message for r in mine if r.severity == "warning"]
+    return {
+        j: tuple([r.message for r in out if (r.job, r.severity) == (j, s)] for s in ("error", "warning"))
+        for j in cases
+    }
+
 
+@pytest.fixture(scope="module")
+def report(spark):
+    return run_report(spark, CASES, SET)
 
-def test_worked_job_is_fine(spark):
-    assert report(spark) == ([], [])
 
+def test_worked_job_is_fine(report):
+    assert report["fine"] == ([], [])
 
-def test_missing_manifest_stops_other_checks(spark):
-    assert report(spark, None, files=[], text="") == (["manifest not found"], [])
 
+def test_missing_manifest_stops_other_checks(report):
+    assert report["missing"] == (["manifest not found"], [])
 
-def test_no_front_matter(spark):
-    errors, _ = report(spark, None, text="just text")
+
+def test_no_front_matter(report):
+    errors, _ = report["no block"]
     assert len(errors) == 1 and "front-matter" in errors[0]
 
 
 @pytest.mark.parametrize(
-    "manifest, part",
+    "name, part",
     [
-        (changed(job_name="Student-Download!"), "Student-Download!"),
-        (changed(mode="yolo"), "yolo"),
-        (changed(direction="sideways"), "sideways"),
-        (changed(destination={"file_format": "parquet"}), "parquet"),
-        (changed(sources={"sql": [{"file": "a", "role": "mystery_role"}]}), "mystery_role"),
-        (changed(sources={"specs": [{"file": "a", "role": "export"}]}), "export"),
-        (changed(surprise=1), "surprise"),
-        (changed(destination={"folder": "x"}), "folder"),
+        ("name", "Student-Download!"), ("mode", "yolo"), ("direction", "sideways"), ("format", "parquet"),
+        ("role", "mystery_role"), ("misplaced role", "export"), ("unknown field", "surprise"),
+        ("unknown inner field", "folder"),
     ],
 )
-def test_schema_errors_name_the_value(spark, manifest, part):
-    errors, _ = report(spark, manifest)
+def test_schema_errors_name_the_value(report, name, part):
+    errors, _ = report[name]
     assert len(errors) == 1 and part in errors[0]
 
 
-def test_all_schema_errors_together(spark):
-    errors, _ = report(spark, changed(job_name="X", mode="yolo", surprise=1))
-    assert len(errors) == 3
+def test_all_schema_errors_together(report):
+    assert len(report["three"][0]) == 3
 
 
-def test_absent_file_is_named(spark):
-    errors, _ = report(spark, files=FILES[:1] + FILES[2:])
-    assert errors == ["manifest references job/sql/export_query.sql but that file does not exist"]
+def test_absent_file_is_named(report):
+    assert report["absent"][0] == ["manifest references job/sql/export_query.sql but that file does not exist"]
 
 
-def test_orphan_is_a_warning_and_tests_are_exempt(spark):
-    errors, warnings = report(spark, files=[*FILES, "sql/orphan.sql", "tests/golden.csv"])
+def test_orphan_is_a_warning_and_tests_are_exempt(report):
+    errors, warnings = report["orphan"]
     assert errors == [] and len(warnings) == 1 and "job/sql/orphan.sql" in warnings[0]
 
 
-def test_unknown_connection_lists_the_registry(spark):
-    errors, _ = report(spark, changed(destination={"connection": "sftp_prod"}))
+def test_unknown_connection_lists_the_registry(report):
+    errors, _ = report["connection"]
     assert len(errors) == 1 and "sftp_prod" in errors[0] and str(KNOWN).replace('"', "'") in errors[0]
 
 
-def test_unset_name_is_exact(spark):
-    errors, _ = report(spark, set_names=[n for n in SET if n != "ORACLE_DEV_PASSWORD"])
-    assert errors == ["Secret ORACLE_DEV_PASSWORD not configured in repo Settings → Secrets → Actions"]
-
-
-def test_several_problems_together(spark):
-    errors, _ = report(spark, files=FILES[1:], set_names=SET[1:])
-    assert len(errors) == 2
+def test_unset_names_are_exact_and_come_with_other_problems(spark):
+    cases = {"fine": case(), "absent": case(files=FILES[1:])}
+    got = run_report(spark, cases, [n for n in SET if n != "ORACLE_DEV_PASSWORD"])
+    unset = "Secret ORACLE_DEV_PASSWORD not configured in repo Settings → Secrets → Actions"
+    assert got["fine"] == ([unset], [])
+    assert len(got["absent"][0]) == 2 and unset in got["absent"][0]
 
 
 def test_default_connections(spark):

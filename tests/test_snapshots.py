@@ -47,36 +47,37 @@ def changed(**fields):
     return out
 
 
-def stale(spark, new=BASE, files=FILES, old=BASE, old_files=FILES, first=False, records=ALL):
-    """{item: state} of one job, and a second, untouched job must stay current."""
+def decide(spark, scenarios):
+    """{(job, item): state}: every scenario is a job of its own, all in one query."""
+
+    def case(new=BASE, files=FILES, old=BASE, old_files=FILES, first=False, records=ALL):
+        return new, files, old, old_files, first, records
+
+    cases = {name: case(**change) for name, (change, _) in scenarios.items()}
+
+    def table(schema, cells):
+        return spark.createDataFrame([(j, *c) for j, one in cases.items() for c in cells(*one)], schema)
 
     def hashes(mine):
-        data = [("j", f"job/{p}" if p == "intent.md" else p, h) for p, h in mine.items()]
-        return spark.createDataFrame(data + [("other", "sql/x.sql", "9")], HASHES)
+        return [(f"job/{p}" if p == "intent.md" else p, h) for p, h in mine.items()]
 
-    def parsed(manifest):
-        data = [("j", json.dumps(manifest)), ("other", json.dumps(BASE))]
-        return manifests.parse_manifests(spark.createDataFrame(data, "job string, header string"))
+    def parsed(cells):
+        return manifests.parse_manifests(table("job string, header string", cells))
 
-    now, before = parsed(new), parsed(old)
-    jobs = spark.createDataFrame([("j", first), ("other", False)], "job string, first_run boolean")
-    allowed = ALL if new["sources"].get("sql") else ALL - {"ords"}
+    now = parsed(lambda new, *_: [(json.dumps(new),)])
+    before = parsed(lambda new, files, old, *_: [(json.dumps(old),)])
+    items = "job string, item string"
     out = decisions.affected_outputs(
-        jobs,
-        spark.createDataFrame(
-            [("j", i) for i in allowed] + [("other", i) for i in ALL], "job string, item string"
-        ),
-        spark.createDataFrame(
-            [("j", i) for i in records] + [("other", i) for i in ALL], "job string, item string"
-        ),
-        hashes(old_files), hashes(files),
+        table("job string, first_run boolean", lambda *c: [(c[4],)]),
+        table(items, lambda new, *_: [(i,) for i in (ALL if new["sources"].get("sql") else ALL - {"ords"})]),
+        table(items, lambda *c: [(i,) for i in c[5]]),
+        table(HASHES, lambda *c: hashes(c[3])),
+        table(HASHES, lambda *c: hashes(c[1])),
         manifests.reference_categories(now),
         manifests.manifest_fields(before), manifests.manifest_fields(now),
         manifest_path=MANIFEST_PATH,
     )
-    got = {(r.job, r.item): r.state for r in out.collect()}
-    assert all(got["other", i] == "current" for i in ALL) and len(got) == 6
-    return {i for i in ALL if got["j", i] == "stale"}
+    return {(r.job, r.item): r.state for r in out.collect()}
 
 
 SCENARIOS = {
@@ -112,10 +113,16 @@ SCENARIOS = {
 }
 
 
+@pytest.fixture(scope="module")
+def decided(spark):
+    return decide(spark, SCENARIOS)
+
+
 @pytest.mark.parametrize("name", SCENARIOS)
-def test_scenario(spark, name):
-    change, want = SCENARIOS[name]
-    assert stale(spark, **change) == want
+def test_scenario(decided, name):
+    got = {i for i in ALL if decided[name, i] == "stale"}
+    assert got == SCENARIOS[name][1]
+    assert len(decided) == 3 * len(SCENARIOS)
 
 
 def test_not_applicable_is_its_own_state(spark):
