@@ -60,7 +60,7 @@ def sensitive_scan(
             names.setdefault(row[1], []).append(row[0])
         if not names:
             continue
-        shared = spark.sparkContext.broadcast(names)
+        shared = spark.sparkContext.broadcast({"names": names})
         hits = plain.mapInArrow(_finder(shared, key, name, to_arrow_type(schema[name].dataType)), schema)
         found = hits if found is None else found.unionByName(hits)
     return spark.createDataFrame([], schema) if found is None else found
@@ -68,12 +68,16 @@ def sensitive_scan(
 
 def _finder(shared, key: str, name: str, name_type: pa.DataType):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
+        # Kept beside the values, so that a worker process builds it once for all its tasks.
+        kept = shared.value
+        if "automaton" not in kept:
+            import ahocorasick
 
-        automaton = ahocorasick.Automaton()
-        for value, names in shared.value.items():
-            automaton.add_word(value, names)
-        automaton.make_automaton()
+            kept["automaton"] = ahocorasick.Automaton()
+            for value, names in kept["names"].items():
+                kept["automaton"].add_word(value, names)
+            kept["automaton"].make_automaton()
+        automaton = kept["automaton"]
         for batch in batches:
             keys, bodies = batch.columns
             places, hits = [], []

@@ -272,3 +272,30 @@ def unreferenced_paths(t: Tables) -> DataFrame:
     paths = t.documents.select("doc_id", "lang", document_path().alias("path"))
     found = references.unreferenced(paths, t.labels, ["doc_id"], F.col("path").startswith("tests/"))
     return found.select("doc_id", "path")
+
+
+def digests_sql(table: str, name: str) -> str:
+    return f"""SELECT job, sha256(string_agg(doc_id::VARCHAR || chr(0) || h || chr(0), ''
+    ORDER BY doc_id::VARCHAR)) AS {name} FROM {table} GROUP BY job"""
+
+
+@query(f"""WITH {AFFECTED}, built AS ({digests_sql("cur", "b")}), delivered AS ({digests_sql("prev", "d")})
+SELECT job, item FROM affected LEFT JOIN built USING (job) LEFT JOIN delivered USING (job)
+WHERE (job LIKE '%/es/%' OR job LIKE '%/en/%') AND state <> 'not applicable' AND b IS NOT NULL
+  AND b IS DISTINCT FROM d""")
+def deliveries_due(t: Tables) -> DataFrame:
+    """Outputs to deliver: the built content differs from what was delivered before."""
+
+    def prints(docs: DataFrame, name: str) -> DataFrame:
+        found = snapshots.fingerprint(docs, ["job"], "doc_id", "hash")
+        return found.select("job", F.col("fingerprint").alias(name))
+
+    outputs = (
+        affected(t)
+        .join(prints(current_documents(t), "built"), "job", "left")
+        .join(prints(previous_documents(t), "delivered"), "job", "left")
+    )
+    due = decisions.needs_delivery(
+        F.col("state"), F.col("job").rlike("/(es|en)/"), F.col("built"), F.col("delivered")
+    )
+    return outputs.where(due).select("job", "item")

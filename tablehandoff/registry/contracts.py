@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablehandoff.functions import text
 from tablehandoff.operators import assertions, contract, history, references, rows
+from tablehandoff.plans import manifests
 from tablehandoff.plans.decisions import quality_report as report_problems
 from tablehandoff.registry.base import BIG_PRICE, Tables, big_orders, query
 
@@ -242,3 +243,57 @@ def canonical_order(t: Tables) -> DataFrame:
     return rows.canonical_order(
         counted, "event_type", ["signup", "view", "click", "purchase", "error"]
     )
+
+
+# A manifest per customer. Broken names and modes follow from the balance and the segment,
+# files exist for customers with a large order, and the others keep a forgotten one.
+@query(f"""WITH {BIG}, c AS (SELECT *, c_custkey IN (SELECT o_custkey FROM big) AS active,
+    CASE WHEN c_acctbal < 0 THEN c_name ELSE replace(lower(c_name), '#', '_') END AS job_name,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'yolo' ELSE 'deploy' END AS mode FROM customer),
+invalid AS (
+  SELECT c_custkey AS job, 'job_name: ''' || job_name || ''' does not match {text.NAME_PATTERN}' AS message
+  FROM c WHERE c_acctbal < 0
+  UNION ALL SELECT c_custkey, 'mode: ''yolo'' is not one of [''deploy'', ''generate'']' FROM c WHERE mode = 'yolo'),
+valid AS (SELECT * FROM c WHERE c_acctbal >= 0 AND mode <> 'yolo')
+SELECT job, 'error' AS severity, message FROM invalid
+UNION ALL SELECT c_custkey, 'error', 'manifest references job/sql/' || c_custkey || '.sql but that file does not exist'
+  FROM valid WHERE NOT active
+UNION ALL SELECT c_custkey, 'error', 'connection ''sftp_prod'' is not defined in the registry (known: '
+  || '[''mule_dev'', ''oracle_dev'', ''sftp_dev''])' FROM valid WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_custkey, 'error', '{manifests.UNSET.format(name="ORACLE_DEV_PASSWORD")}' FROM valid
+UNION ALL SELECT c_custkey, 'warning', 'job/specs/old.txt exists but is not referenced' FROM valid WHERE NOT active""")
+def manifest_report(t: Tables) -> DataFrame:
+    key = F.col("c_custkey").cast("string")
+    name = F.when(F.col("c_acctbal") < 0, F.col("c_name")).otherwise(
+        F.translate(F.lower("c_name"), "#", "_")
+    )
+    load = F.struct(
+        F.concat(F.lit("sql/"), key, F.lit(".sql")).alias("file"), F.lit("export").alias("role")
+    )
+    target = F.when(F.col("c_mktsegment") == "BUILDING", "sftp_prod").otherwise("sftp_dev")
+    header = F.to_json(F.struct(
+        name.alias("job_name"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "yolo").otherwise("deploy").alias("mode"),
+        F.lit("download").alias("direction"),
+        F.struct(F.array(load).alias("sql")).alias("sources"),
+        F.struct(
+            target.alias("connection"), F.lit("/in").alias("path"),
+            F.lit("csv").alias("file_format"), F.lit("x.csv").alias("file_name_pattern"),
+        ).alias("destination"),
+    ))
+    given = t.customer.select(F.col("c_custkey").alias("job"), header.alias("header"))
+    given = given.withColumn("text", F.concat(F.lit("---\n"), "header", F.lit("\n---\n")))
+    active = big_orders(t).select(F.col("o_custkey").alias("job")).distinct()
+    idle = t.customer.select(F.col("c_custkey").alias("job")).join(active, "job", "left_anti")
+    load_file = F.concat(F.lit("sql/"), F.col("job").cast("string"), F.lit(".sql"))
+    files = active.select("job", load_file.alias("path")).unionByName(
+        idle.select("job", F.lit("specs/old.txt").alias("path"))
+    )
+    registry = t.spark.createDataFrame(
+        [("oracle_dev", {"user": "ORACLE_DEV_USER", "password": "ORACLE_DEV_PASSWORD"}),
+         ("mule_dev", {}), ("sftp_dev", {})],
+        "name string, secrets map<string,string>",
+    )
+    set_names = t.spark.createDataFrame([("ORACLE_DEV_USER",)], "name string")
+    known = references.known_names(registry, "name")
+    return manifests.manifest_report(given, files, registry, set_names, known)

@@ -145,3 +145,18 @@ def flatten_refs(t: Tables) -> DataFrame:
     expected = F.array(F.concat(F.lit("tests/"), F.col("event_id").cast("string")))
     refs = state.flatten_refs(load, expected)
     return t.events.select("event_id", F.posexplode(refs).alias("seq", "ref"))
+
+
+@query("""SELECT event_id, (props->>'$.k')::INT AS k, 'pending' AS status, event_type AS note FROM events""")
+def state_round_trip(t: Tables) -> DataFrame:
+    """A state struct written as text and read again, with a null field kept."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("k INT, status STRING, note STRING, gone STRING")
+    first = state.read_state(F.col("props"), schema, {
+        "k": F.lit(0), "status": F.lit("pending"), "note": F.col("event_type"),
+        "gone": F.lit(None).cast("string"),
+    })
+    written = t.events.select("event_id", state.write_state(first).alias("json"))
+    again = written.select("event_id", state.read_state(F.col("json"), schema).alias("s"))
+    return again.select("event_id", "s.k", "s.status", "s.note")

@@ -6,6 +6,7 @@ import math
 import re
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -17,6 +18,7 @@ from tablehandoff import storage
 from tablehandoff.sources.files import FixedColumn
 
 # Rows of one delivered file; a larger export becomes numbered files of about this size.
+# Raise it for exports of very many rows: every file is a shuffle partition.
 ROWS_PER_FILE = 2_000_000
 
 
@@ -60,8 +62,9 @@ def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
     names = (
         [name] if len(parts) == 1 else [f"{stem}-{i:05d}{dot}{ext}" for i in range(len(parts))]
     )
-    for part, final in zip(parts, names):
-        storage.move(spark, f"{staged}/{part}", f"{base}/{final}")
+    with ThreadPoolExecutor(16) as pool:
+        moves = zip(parts, names)
+        list(pool.map(lambda m: storage.move(spark, f"{staged}/{m[0]}", f"{base}/{m[1]}"), moves))
     own = re.compile(re.escape(stem) + r"(-\d{5})?" + re.escape(dot + ext))
     for old in storage.file_names(spark, base):
         if own.fullmatch(old) and old not in names:

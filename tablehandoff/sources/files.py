@@ -166,9 +166,7 @@ def _base_name(path: Column) -> Column:
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     """(path, text) of every non-empty file below ``root``, text stripped."""
     raw = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(root)
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True)
         .select(
             _relative(F.col("_metadata.file_path"), root).alias("path"),
             text.strip(F.col("value")).alias("text"),

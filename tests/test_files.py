@@ -144,7 +144,7 @@ def test_default_checks(spark, extract, folder):
 def tree(tmp_path):
     for name, body in {
         "sql/load.sql": "select 1;\n", "sql/deep/x.sql": "x", "specs/.gitkeep": "", "top.txt": " \n",
-        "docs/a b+c.txt": "\n hello \n", "docs/é.txt": "ü", "sql/empty.sql": "",
+        "docs/a b+c.txt": "\n hello\n\nworld \n", "docs/é.txt": "ü", "sql/empty.sql": "",
     }.items():
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -156,7 +156,7 @@ def tree(tmp_path):
 def test_corpus(spark, tree, scheme):
     got = files.read_corpus(spark, f"{scheme}{tree}")
     assert rows(got) == [
-        ("docs/a b+c.txt", "hello"), ("docs/é.txt", "ü"), ("sql/deep/x.sql", "x"), ("sql/load.sql", "select 1;"),
+        ("docs/a b+c.txt", "hello\n\nworld"), ("docs/é.txt", "ü"), ("sql/deep/x.sql", "x"), ("sql/load.sql", "select 1;"),
     ]
 
 
