@@ -12,6 +12,7 @@ from tablehandoff.operators import contract
 from tablehandoff.operators.snapshots import unpivot_fields
 from tablehandoff.plans.decisions import quality_report
 from tablehandoff.scale import broadcast_if_bounded
+from tablehandoff.session import checkpoint_folder
 
 _LIST = T.ArrayType(struct_of("file", "role"))
 # The closed schema of a manifest.
@@ -132,7 +133,9 @@ def manifest_report(
     JSON of its front matter · files(job, path) below the job · connections(name, secrets
     map role -> variable) · set_names(name) · known: names in the registry.
     """
-    parsed = parse_manifests(manifests)
+    # One small row per job, parsed once for all the checks below.
+    checkpoint_folder(manifests.sparkSession)
+    parsed = parse_manifests(manifests).checkpoint()
     checked = contract.check_rules(
         parsed.where(F.col("m").isNotNull()), ["job"], manifest_rules()
     )
