@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 # What Python's str.strip() removes and str.splitlines() splits on.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 WHITESPACE_CLASS = (
     r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -43,6 +43,7 @@ FILE_KINDS = {
     ".txt": "sample",
 }
 
+# Patterns of a header block, a fenced text and the last suffix of a name.
 FRONT_MATTER = (
     rf"(?s)\A---{WHITESPACE_CLASS}*\n(.*?)\n---{WHITESPACE_CLASS}*\n?(.*)\z"
 )

@@ -122,11 +122,12 @@ def canonical_order(df: DataFrame, name: str, ordinals: Sequence[str]) -> DataFr
     Names outside the list are rejected together, sorted.
     """
     known = F.array(*[F.lit(n) for n in ordinals])
-    unknown = (
-        df.where(~F.col(name).isin(list(ordinals))).select(name).distinct().orderBy(name)
-    ).limit(100).collect()
+    unknown = bounded(df.where(~F.col(name).isin(list(ordinals))).select(name).distinct())
+    if unknown is None:
+        raise UnknownNames(f"too many unknown names to list; valid: {list(ordinals)}")
     if unknown:
-        raise UnknownNames(f"unknown names: {[r[0] for r in unknown]}; valid: {list(ordinals)}")
+        names = sorted(r[0] for r in unknown)
+        raise UnknownNames(f"unknown names: {names}; valid: {list(ordinals)}")
     return df.withColumn("ordinal", F.array_position(known, F.col(name)).cast("long")).orderBy(
         "ordinal"
     )

@@ -21,7 +21,10 @@ class VerificationError(RuntimeError):
 
 
 class ContractError(ValueError):
-    """Rows of an inbound file break the contract; nothing was written."""
+    """Rows of an inbound file break the contract; nothing was written.
+
+    The message names the most frequent problems, ``problems`` (message, n) has them all.
+    """
 
 
 def staging_join(
@@ -145,14 +148,15 @@ def run_upload(
     )
     readable = contract.Rule(~file_sources.corrupt(parsed), F.lit("record does not parse"))
     checks = [readable, *(rules() if rules else [])]
-    problems = contract.error_rows(contract.check_rules(parsed, [], checks), [])
-    found = problems.groupBy("message").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "message"
-    ).limit(20).collect()
-    if found:
-        raise ContractError(
-            f"{job_name}: " + "; ".join(f"{r.message} ({r.n} rows)" for r in found)
+    broken = contract.error_rows(contract.check_rules(parsed, [], checks), [])
+    problems = broken.groupBy("message").agg(F.count(F.lit(1)).alias("n"))
+    frequent = problems.orderBy(F.desc("n"), "message").limit(20).collect()
+    if frequent:
+        error = ContractError(
+            f"{job_name}: " + "; ".join(f"{r.message} ({r.n} rows)" for r in frequent)
         )
+        error.problems = problems
+        raise error
     table = f"{target.rstrip('/')}/{tables.staging_name(job_name)}"
     tables.append_history(parsed.drop(file_sources.CORRUPT), table, batch)
     return spark.read.parquet(table).drop("batch")

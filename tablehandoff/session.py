@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,7 +43,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session without the
-    setting gets a folder of its own; a cluster session without it is an error, since a
+    setting gets a folder of its own, removed at exit; a cluster session without it is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
@@ -56,6 +58,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     folder = tempfile.mkdtemp(prefix="tablehandoff-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 
