@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehandoff import session
+from tablehandoff.llm.decontaminate import contaminated
 from tablehandoff.llm.repeats import remove_repeats
+from tablehandoff.llm.sharding import assign
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +29,14 @@ def query(fn):
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign(table(spark, sf_dir, "documents"), shards=24)
+
+
+@query
+def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item found in it."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
