@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehandoff import session
+from tablehandoff.llm import archive, language
 from tablehandoff.llm.decontaminate import contaminated
 from tablehandoff.llm.repeats import remove_repeats
 from tablehandoff.llm.sharding import assign
@@ -40,3 +41,33 @@ def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item found in it."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    learned = language.learn(docs.where(~F.coalesce(held_out, F.lit(True)) & F.col("lang").isNotNull()))
+    found = language.identify(docs.select("doc_id", "text"), learned, keep_text=False)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op2_zip_packaged_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    packages = archive.write_packages(pages, session.work_folder(spark, "warc"))
+    return archive.read_packages(packages).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLES["op2_zip_packaged_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f"""
