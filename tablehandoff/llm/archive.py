@@ -281,7 +281,7 @@ def write_packages(
         "first-payloads",
     )
     # Small payloads have no partner; a key of their own keeps them from piling up in one task.
-    keyed = rows.withColumn("key", F.when(F.col("bytes") >= least_revisit, F.col("digest")).otherwise(F.uuid()))
+    keyed = rows.withColumn("key", F.when(F.col("bytes") >= least_revisit, F.col("digest")).otherwise(F.monotonically_increasing_id().cast("string")))
     matched = keyed.join(shared.withColumnRenamed("digest", "key"), "key", "left")
     refers_to = F.when(~F.col("first").eqNullSafe(F.col("own")), F.col("first").cast("string"))
     records = matched.select(
