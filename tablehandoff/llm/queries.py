@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablehandoff import session
 from tablehandoff.llm import archive, language
 from tablehandoff.llm.decontaminate import contaminated
+from tablehandoff.llm.neardup import near_duplicates
 from tablehandoff.llm.repeats import remove_repeats
 from tablehandoff.llm.sharding import assign
 
@@ -71,3 +72,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM f"""
+
+
+@query
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
