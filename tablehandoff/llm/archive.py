@@ -37,6 +37,8 @@ ALL16, ALL32 = 0xFFFF, 0xFFFFFFFF
 # so many bytes.
 PACKAGE_BYTES = 256 << 20
 READ_BYTES = 4 << 20
+# Records of one stretch of a package are read by one task.
+STRETCH_BYTES = 8 << 20
 # Payloads of fewer bytes are never revisits.
 LEAST_REVISIT = 100
 
@@ -393,7 +395,10 @@ def read_packages(packages: DataFrame, path: str = "path") -> DataFrame:
     index = packages.select(col(path).alias("path")).where(F.col("path").isNotNull()).repartition("path").mapInArrow(
         _located_rows, "path string, member string, offset long, length long"
     )
-    dealt = index.repartition("path", F.floor(F.col("offset") / F.lit(8 << 20))).sortWithinPartitions("path", "offset")
+    # A fixed number: rows of the index are small, the records they stand for are not.
+    parts = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretch = F.floor(F.col("offset") / F.lit(STRETCH_BYTES))
+    dealt = index.repartition(parts, "path", stretch).sortWithinPartitions("path", "offset")
     return dealt.select("path", "offset", "length").mapInArrow(
         _record_rows,
         "id string, url string, record_type string, payload binary, payload_digest string, payload_bytes long, refers_to string",
