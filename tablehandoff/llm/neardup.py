@@ -9,10 +9,14 @@ halving; points beyond the weight do not count. A process runs in order of time
 once it is behind the largest slot, so a text costs a few points for each shingle, not one for
 each shingle and slot.
 
-Texts that agree in a band are candidates. Texts of equal words are one text from the start.
-Each text is first verified against one text of its buckets (a star, so copies are not
-expanded into pairs); then every pair of texts that share a bucket and are still in different
-classes. With 40 bands of 6 a pair at similarity 0.8 is missed with a chance of 5 in a million.
+Texts that agree in a band share a bucket and are candidates. Texts of equal words are one
+text from the start. The center of a bucket is the text that shares buckets with most others.
+Each text is first verified against one center (a star, so copies are not expanded into
+pairs). What is left are pairs that share a bucket and are in different classes. Of those,
+a pair is compared if it can reach the similarity at all: texts share no more than the
+shingles that each of them has in common with any candidate, and lack each shingle whose bit
+in a map of hashes the other lacks. With 40 bands of 6 a pair at
+similarity 0.8 is missed with a chance of 5 in a million.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ SHINGLE = 5
 BANDS = 40
 ROWS = 6
 SLOTS = BANDS * ROWS
+# Bits of the map that bounds what two texts can have in common.
+BITS = 1024
 SECOND_BASE = 0xA3EC647659359ACD
 _STEP = 0x9E3779B97F4A7C15
 
@@ -157,6 +163,91 @@ def _in_class(rows: DataFrame, name: str, classes: DataFrame) -> DataFrame:
     return rows.join(to, name, "left").withColumn(f"{name}_class", F.coalesce("_to", name)).drop("_to")
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each distinct shingle of each text and how often it is there."""
+    for batch in batches:
+        rows = batch.column(0).to_numpy()
+        for low, _, words in slices(batch.column(1)):
+            text, shingle = bags(words, SHINGLE)
+            order = np.lexsort((shingle, text))
+            text, shingle = text[order], shingle[order]
+            new = np.ones(len(text), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (shingle[1:] != shingle[:-1])
+            at = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[low + text[at]]), pa.array(shingle[at].view(np.int64)), pa.array(np.diff(np.append(at, len(text))))],
+                ["row", "shingle", "weight"],
+            )
+
+
+def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each text a map of BITS bits: those of its shingles' hashes."""
+    for batch in batches:
+        rows = batch.column(0)
+        for low, high, words in slices(batch.column(1)):
+            text, shingle = bags(words, SHINGLE)
+            bits = np.zeros((high - low, BITS), dtype=bool)
+            bits[text, (shingle % np.uint64(BITS)).astype(np.int64)] = True
+            longs = np.packbits(bits, axis=1).view(np.int64).ravel()
+            offsets = pa.array(np.arange(high - low + 1, dtype=np.int32) * (BITS // 64))
+            yield pa.RecordBatch.from_arrays(
+                [rows.slice(low, high - low), pa.ListArray.from_arrays(offsets, pa.array(longs))], ["id", "bits"]
+            )
+
+
+def _open_pairs(buckets: DataFrame, texts: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) that share a bucket, are in different classes and can reach ``least``."""
+    placed = stored(_in_class(buckets.select("key", "id", "center"), "id", classes), "placed")
+    mixed = stored(
+        placed.groupBy("key")
+        .agg(
+            F.min("id_class").alias("low"), F.max("id_class").alias("high"),
+            F.max(F.when(F.col("id") == F.col("center"), F.col("id_class"))).alias("main"),
+        )
+        .where("low <> high").select("key", "main"),
+        "mixed",
+    )
+    rows = stored(placed.select("key", "id", "id_class").join(mixed, "key"), "mixed-rows")
+    asked = texts.join(rows.select(F.col("id").alias("row")).distinct(), "row", "left_semi")
+    bags_of = asked.select("row", "text").mapInArrow(_shingle_rows, "row long, shingle long, weight long")
+    common = stored(
+        bags_of.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle", F.lit(True).alias("common")),
+        "common",
+    )
+    # Of each text: its shingles, and those that another candidate has as well.
+    held = stored(
+        bags_of.join(common, "shingle", "left").groupBy(F.col("row").alias("id"))
+        .agg(F.sum("weight").alias("whole"), F.sum(F.when(F.col("common"), F.col("weight")).otherwise(0)).alias("held"))
+        .where(F.col("held") >= least * F.col("whole") - 1e-9),
+        "held",
+    )
+    maps = asked.select("row", "text").mapInArrow(_bit_rows, "id long, bits array<long>")
+    able = stored(rows.join(stored(held.join(maps, "id"), "bounds"), "id"), "able")
+    # One side is what is not in the class of the bucket's center: few after the first links.
+    left = able.where("id_class <> main").select(
+        "key", F.col("id").alias("x"), F.col("id_class").alias("x_class"), F.col("whole").alias("x_whole"), F.col("held").alias("x_held"),
+        *[F.col("bits")[i].alias(f"x{i}") for i in range(BITS // 64)],
+    )
+    right = able.select(
+        F.col("key").alias("y_key"), F.col("id").alias("y"), F.col("id_class").alias("y_class"), "main",
+        F.col("whole").alias("y_whole"), F.col("held").alias("y_held"),
+        *[F.col("bits")[i].alias(f"y{i}") for i in range(BITS // 64)],
+    )
+    # A bit of one map that the other lacks is a shingle that the other lacks.
+    lacks = lambda a, b: sum(
+        (F.bit_count(F.col(f"{a}{i}").bitwiseAND(F.bitwise_not(f"{b}{i}"))) for i in range(BITS // 64)), F.lit(0)
+    )
+    both = F.least("x_held", "y_held", F.col("x_whole") - lacks("x", "y"), F.col("y_whole") - lacks("y", "x"))
+    reach = least / (1 + least) * (F.col("x_whole") + F.col("y_whole")) - 1e-9
+    pairs = left.join(
+        right,
+        (F.col("key") == F.col("y_key")) & (F.col("x_class") != F.col("y_class"))
+        & ((F.col("y_class") == F.col("main")) | (F.col("x") < F.col("y")))
+        & (both >= reach),
+    )
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def classes_of_rows(source: DataFrame, least: float = 0.8) -> DataFrame:
     """``row`` and ``root``, the least row of its class, for frames of ``numbered``."""
     signed = stored(source.select("row", "text").mapInArrow(_signature_rows, SIGNATURE), "signatures")
@@ -174,32 +265,29 @@ def classes_of_rows(source: DataFrame, least: float = 0.8) -> DataFrame:
         signed.select("row", "bands").join(members.where("row = rep").select("row"), "row", "left_semi")
         .select(F.col("row").alias("id"), F.explode("bands").alias("key"))
     )
+    sizes = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    shared = stored(banded.join(sizes, "key"), "shared")
+    popular = stored(shared.groupBy("id").agg(F.sum("size").alias("near")), "popular")
     centers = stored(
-        banded.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("key", "center"),
+        shared.select("key", "id").join(popular, "id").groupBy("key")
+        .agg(F.max_by("id", "near").alias("center"), F.max("near").alias("near")),
         "centers",
     )
-    buckets = stored(banded.join(centers, "key"), "buckets")
-    texts = stored(
-        source.select("row", "text").join(buckets.select(F.col("id").alias("row")).distinct(), "row", "left_semi"), "texts"
+    buckets = stored(shared.select("key", "id").join(centers, "key"), "buckets")
+    texts = stored(source.select("row", "text").join(popular.select(F.col("id").alias("row")), "row", "left_semi"), "texts")
+    # One candidate for each text: the most popular center of its buckets.
+    first = stored(
+        buckets.where("id <> center").groupBy("id").agg(F.max_by("center", "near").alias("a"))
+        .select("a", F.col("id").alias("b")),
+        "first",
     )
-    # One candidate for each text: the least center of its buckets.
-    first = buckets.where("id <> center").groupBy("id").agg(F.min("center").alias("a")).select("a", F.col("id").alias("b"))
     links = stored(_verified(first, texts, least), "links")
     classes = components(links)
-    # Then all pairs that share a bucket, are in different classes and were not compared yet.
-    placed = stored(_in_class(buckets.select("key", "id"), "id", classes), "placed")
-    mixed = stored(
-        placed.groupBy("key").agg(F.min("id_class").alias("low"), F.max("id_class").alias("high"))
-        .where("low <> high").select("key"),
-        "mixed",
-    )
-    open_rows = placed.join(mixed, "key")
-    left = open_rows.select("key", F.col("id").alias("a"), F.col("id_class").alias("a_class"))
-    right = open_rows.select("key", F.col("id").alias("b"), F.col("id_class").alias("b_class"))
-    rest = (
-        left.join(right, "key").where("a < b and a_class <> b_class").select("a", "b").distinct()
-        .join(first, ["a", "b"], "left_anti")
+    rest = stored(
+        _open_pairs(buckets, texts, classes, least).join(
+            first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
+        ),
+        "rest",
     )
     more = stored(_verified(rest, texts, least), "more-links")
     if more.take(1):
