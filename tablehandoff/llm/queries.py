@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehandoff import session
-from tablehandoff.llm import archive, language
+from tablehandoff.llm import archive, language, pieces
 from tablehandoff.llm.decontaminate import contaminated
 from tablehandoff.llm.neardup import near_duplicates
 from tablehandoff.llm.repeats import remove_repeats
@@ -78,3 +78,20 @@ FROM f"""
 def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of each document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# A public vocabulary; the path is a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op8_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two segmentations of each document, decoded again and compared with it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    vocabulary = pieces.load(PIECES)
+    made = pieces.sample_segmentations(docs, vocabulary, k=2)
+    decoded = pieces.decode(made.withColumn("ids_hash", F.xxhash64("ids")), vocabulary)
+    return decoded.select(
+        "doc_id", "rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_hash",
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),
+    )
