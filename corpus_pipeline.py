@@ -1,4 +1,8 @@
-"""Training text from raw documents, stage by stage; each stage is written and read again."""
+"""Training pieces from raw documents, stage by stage; each stage is written and read again.
+
+Every stage works on all rows that the one before kept. All but the last return the columns
+of ``documents``; the last returns sampled piece ids.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehandoff import session
+from tablehandoff.llm import language, pieces
+from tablehandoff.llm.decontaminate import contaminated
+from tablehandoff.llm.frames import numbered, stored
+from tablehandoff.llm.neardup import without_copies
+from tablehandoff.llm.queries import PIECES
 from tablehandoff.llm.repeats import remove_repeats
 
 
-def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language is rejected: no letters, or a narrow margin."""
+    session.configure(spark)
+    learned = language.learn(docs)
+    return language.identify(docs, learned).where(~F.col("rejected")).select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near copies."""
+    session.configure(spark)
+    return without_copies(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes words out that repeat in long runs; a text without any stays as it is."""
+    session.configure(spark)
     cut = remove_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     changed = {"text": text, "n_chars": F.length(text).cast("long")}
-    return cut.select(*[changed[c].alias(c) if c in changed else c for c in docs.columns])
+    return cut.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold an item of the benchmark."""
+    session.configure(spark)
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    rows = numbered(docs, "text")
+    found = stored(contaminated(rows.select("row", "text"), items, doc_id="row").select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    kept = rows.join(found, "row", "left_anti")
+    return kept.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
+def segmented(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of each document, and whether they decode to its text."""
+    session.configure(spark)
+    vocabulary = pieces.load(PIECES)
+    slim = docs.select("doc_id", "lang", "source", "text", F.xxhash64("text").alias("text_hash"))
+    made = pieces.sample_segmentations(slim, vocabulary, k=2)
+    decoded = pieces.decode(made.withColumn("pieces", F.col("ids")), vocabulary)
+    return decoded.select(
+        "doc_id", "lang", "source", "rank", "n_pieces", "log_prob", "log_inclusion", F.col("pieces").alias("ids"),
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),
+    )
 
 
-STAGES = [("substring dedup", substring_dedup)]
+STAGES = [
+    ("language ID", identified),
+    ("near-dedup", without_near_copies),
+    ("substring dedup", without_repeats),
+    ("decontamination", decontaminated),
+    ("pieces", segmented),
+]
 
-# A stage learns from the texts, which SQL cannot express.
+# Stages learn from the texts and sample by hash, which SQL cannot express.
 ORACLE_SQL = None
 
 
