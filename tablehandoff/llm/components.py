@@ -27,25 +27,24 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a lesser node, which has none itself."""
+    several = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    linked = links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
+    return several.unionByName(linked).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``a`` (a node that is not the least of its component) and ``b`` (the least node of it).
 
-    Large-star and small-star steps until nothing changes: the number of rounds grows with the
+    Large-star and small-star steps until only stars are left: the number of rounds grows with the
     logarithm of the longest path, and no step collects a node's neighbours. Links to itself and
     repeated links change nothing; no links, no rows.
     """
-    current = stored(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
-
-    def state(df: DataFrame):
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1)))).first())
-
-    before = state(current)
+    turned = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = stored(turned.where(F.col("a") != F.col("b")).distinct(), "links")
     for _ in range(ROUNDS):
-        if not before[0]:
+        if _stars(current):
             return current
         current = stored(_star(stored(_star(current, True), "large"), False), "small")
-        after = state(current)
-        if after == before:
-            return current
-        before = after
     raise RuntimeError("the components did not settle")
