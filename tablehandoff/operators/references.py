@@ -62,11 +62,12 @@ def unset_required(
 
 def merge_maps(base: Column, override: Column, without: Sequence[str] = ()) -> Column:
     """One map with the entries of both, the override's value for a common name."""
-    empty = F.map_filter(base, lambda k, v: F.lit(False))
-    new = F.coalesce(override, empty)
+    # A missing base has no entries: the override counts alone. Both missing give null.
+    old = F.coalesce(base, F.map_filter(override, lambda k, v: F.lit(False)))
+    new = F.coalesce(override, F.map_filter(base, lambda k, v: F.lit(False)))
     overridden = F.map_keys(new)
     kept = F.map_filter(
-        base,
+        old,
         lambda k, v: ~F.array_contains(overridden, k) & ~k.isin(list(without)),
     )
     return F.map_concat(kept, new)

@@ -55,7 +55,11 @@ def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
     spark = df.sparkSession
     base = directory.rstrip("/")
     storage.make_folder(spark, base)
-    parts = [f for f in storage.file_names(spark, staged) if f.startswith("part-")]
+    # By number, not as text: part-100000 comes after part-99999.
+    parts = sorted(
+        (f for f in storage.file_names(spark, staged) if f.startswith("part-")),
+        key=lambda f: int(f.split("-")[1]),
+    )
     stem, dot, ext = name.rpartition(".")
     if not dot:
         stem, ext = name, ""
@@ -65,7 +69,7 @@ def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
     with ThreadPoolExecutor(16) as pool:
         moves = zip(parts, names)
         list(pool.map(lambda m: storage.move(spark, f"{staged}/{m[0]}", f"{base}/{m[1]}"), moves))
-    own = re.compile(re.escape(stem) + r"(-\d{5})?" + re.escape(dot + ext))
+    own = re.compile(re.escape(stem) + r"(-\d{5,})?" + re.escape(dot + ext))
     for old in storage.file_names(spark, base):
         if own.fullmatch(old) and old not in names:
             storage.delete(spark, f"{base}/{old}")
@@ -98,7 +102,11 @@ def fixed_line(layout: Sequence[FixedColumn]) -> Column:
     for col in layout:
         value = F.coalesce(F.col(col.name).cast("string"), F.lit(""))
         pad = F.rpad if col.align == "left" else F.lpad
-        cells.append(pad(value, col.width, col.pad))
+        cell = pad(value, col.width, col.pad)
+        if col.pad == "0" and col.align != "left" and col.type != "string":
+            # Zeros alone are the number zero; a missing number is blank.
+            cell = F.when(F.col(col.name).isNull(), F.lit(" " * col.width)).otherwise(cell)
+        cells.append(cell)
     return F.concat(*cells)
 
 

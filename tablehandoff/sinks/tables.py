@@ -79,12 +79,18 @@ def write_upsert(
     checkpoint_folder(spark)
     if storage.exists(spark, path):
         touched = updates.select(partition).distinct()
-        current = spark.read.parquet(path)
+        # With the written schema: a partition value such as "01" is not read as a number.
+        current = spark.read.schema(updates.schema).parquet(path)
         values = bounded(touched)
         if values is not None:  # prunes the partitions to read
-            current = current.where(F.col(partition).isin([r[0] for r in values]))
+            known = [r[0] for r in values if r[0] is not None]
+            match = F.col(partition).isin(known) if known else F.lit(False)
+            if len(known) < len(values):
+                match = match | F.col(partition).isNull()
+            current = current.where(match)
         else:
-            current = current.join(touched, partition, "left_semi")
+            same = F.col(partition).eqNullSafe(F.col("_touched"))
+            current = current.join(touched.select(F.col(partition).alias("_touched")), same, "left_semi")
         state = current.select(*updates.columns)
         merged = upsert_latest(state, updates, keys, seq).checkpoint()
     else:

@@ -70,6 +70,9 @@ def parse_fixed(line: Column, layout: Sequence[FixedColumn]) -> list[Column]:
         raw = F.substring(line, start, col.width)
         cut = F.rtrim(raw, F.lit(col.pad)) if col.align == "left" else F.ltrim(raw, F.lit(col.pad))
         text_cell = F.nullif(cut, F.lit(""))
+        if col.pad == "0" and col.align != "left" and col.type != "string":
+            # Nothing but zeros is the number zero; null is written as blanks.
+            text_cell = F.when((cut == "") & (raw != ""), F.lit("0")).otherwise(F.nullif(F.trim(cut), F.lit("")))
         cell = text_cell.try_cast(col.type)
         wrong = wrong | (text_cell.isNotNull() & cell.isNull())
         cells.append(cell.alias(col.name))

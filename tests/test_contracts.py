@@ -257,3 +257,16 @@ def test_markdown_table(spark):
     lines = [r.line for r in table.markdown_table(df, "map", ["source", "target"], "n").collect()]
     assert lines == ["### Sheet: map", "| source | target |", "|---|---|", "| STUDENT_ID | StudentId |", "| X |  |"]
     assert table.markdown_table(df.where("n > 9"), "map", ["source", "target"], "n").count() == 0
+
+
+def test_overlay_without_a_base(spark):
+    from pyspark.sql import functions as F
+
+    from tablehandoff.operators.references import merge_maps
+
+    df = spark.createDataFrame(
+        [(1, None, {"a": "1"}), (2, {"b": "2"}, None), (3, None, None), (4, {"a": "0", "b": "2"}, {"a": "1"})],
+        "id int, base map<string,string>, over map<string,string>",
+    )
+    got = {r.id: r.m for r in df.select("id", merge_maps(F.col("base"), F.col("over")).alias("m")).collect()}
+    assert got == {1: {"a": "1"}, 2: {"b": "2"}, 3: None, 4: {"a": "1", "b": "2"}}

@@ -263,3 +263,24 @@ def test_materialize_only_when_changed(spark, folder, extract):
     assert tables.materialize_if_changed(extract, "other", path, state, "x") is True
     storage.delete(spark, path)
     assert tables.materialize_if_changed(extract, "other", path, state, "x") is True
+
+
+def test_zero_padded_numbers(spark, folder):
+    from tablehandoff.sinks.files import deliver_fixed
+    from tablehandoff.sources.files import FixedColumn, read_fixed
+
+    layout = [FixedColumn("id", 4), FixedColumn("n", 6, "int", "right", "0")]
+    df = spark.createDataFrame([("a", 0), ("b", 120), ("c", None)], "id string, n int")
+    files = deliver_fixed(df, layout, folder + "/z", "z.dat", date(2024, 1, 1), ["id"])
+    assert [tuple(r) for r in read_fixed(spark, files, layout).orderBy("id").collect()] == [("a", 0), ("b", 120), ("c", None)]
+
+
+def test_upsert_null_and_text_partitions(spark, folder):
+    from tablehandoff.sinks.tables import write_upsert
+
+    kind = "g string, k int, v string, s int"
+    path = folder + "/t"
+    write_upsert(path, spark.createDataFrame([(None, 1, "x", 1), ("01", 1, "x", 1), ("1", 1, "x", 1)], kind), ["g", "k"], ["s"], "g")
+    write_upsert(path, spark.createDataFrame([(None, 2, "y", 2), ("01", 1, "y", 2)], kind), ["g", "k"], ["s"], "g")
+    got = spark.read.schema(kind).parquet(path).select("g", "k", "v").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 1, "x"), (None, 2, "y"), ("01", 1, "y"), ("1", 1, "x")], key=str)
