@@ -36,13 +36,13 @@ from tablehandoff.llm.words import Prefix, buffers, mix
 
 ALPHA = 1.0
 BLANK = 0x2581  # stands for a blank inside pieces
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLOT_BITS = 20
 _CODE_BASE = 0xC2B2AE3D27D4EB4F
 _STEP = 0x9E3779B97F4A7C15
 # Chances below this are rounding errors.
 NOTHING = 1e-12
-RESULTS = ["rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids"]
+RESULTS = ["rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids", "round_trip"]
 
 
 class Vocabulary(NamedTuple):
@@ -392,13 +392,18 @@ def _sample_rows(vocabulary: Vocabulary, k: int):
                 made = list(sample_texts(trie, texts, seeds, k))
                 rows, rank, log, value, inclusion, ids = zip(*made)
                 counts = np.array([len(x) for x in ids])
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                offsets = np.concatenate([[0], np.cumsum(counts)])
+                every = np.concatenate(ids)
+                # Decoded here, too: a second pass over the ids would need workers of its own.
+                decoded = decode_ids(trie, every, offsets)
+                same = [d == texts[i].encode("utf-8", "surrogatepass") for i, d in zip(rows, decoded)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rest").take(pa.array(np.array(rows) + low)), pa.array(rank, pa.int32()),
                         pa.array(counts), pa.array(log, pa.float64()), pa.array(value, pa.float64()),
                         pa.array(inclusion, pa.float64()),
-                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(every.astype(np.int32))),
+                        pa.array(same, pa.bool_()),
                     ],
                     ["rest", *RESULTS],
                 )
@@ -410,7 +415,8 @@ def sample_segmentations(
     docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", k: int = 2, seed: int = 0
 ) -> DataFrame:
     """The columns of ``docs`` but the text, and for each of up to ``k`` distinct segmentations
-    ``rank`` (from 1), ``n_pieces``, ``log_prob``, ``perturbed``, ``log_inclusion`` and ``ids``.
+    ``rank`` (from 1), ``n_pieces``, ``log_prob``, ``perturbed``, ``log_inclusion``, ``ids`` and
+    ``round_trip``, whether the ids decode to the text.
 
     A text with fewer segmentations gives all it has, each with inclusion 1 (log 0) then. A
     null or empty text has one, without pieces. Rows with equal key and text get equal samples;
@@ -418,7 +424,7 @@ def sample_segmentations(
     """
     own = F.xxhash64(F.col("rest").getField(key), F.lit(seed)) if key != text else F.xxhash64("text", F.lit(seed))
     source = numbered(docs, text).select("text", "rest", own.alias("seed"))
-    kinds = [T.IntegerType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.IntegerType())]
+    kinds = [T.IntegerType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.IntegerType()), T.BooleanType()]
     schema = source.select("rest").schema
     for name, kind in zip(RESULTS, kinds):
         schema = schema.add(name, kind)

@@ -71,7 +71,7 @@ def test_rows_and_round_trip(spark):
     assert made.columns == ["doc_id", *pieces.RESULTS]
     by = {}
     for r in made.collect():
-        assert r.n_pieces == len(r.ids) and r.log_inclusion <= 0
+        assert r.n_pieces == len(r.ids) and r.log_inclusion <= 0 and r.round_trip
         by.setdefault(r.doc_id, []).append(r)
     assert len(by[3]) == len(by[2]) == 1 and by[2][0].ids == [] and by[2][0].log_inclusion == 0
     assert len(by[8]) == 3 and len(by[0]) == 6 and len({tuple(r.ids) for r in by[0]}) == 3
