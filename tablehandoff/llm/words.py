@@ -15,7 +15,7 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 # Texts are handled together up to so many bytes; a longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
