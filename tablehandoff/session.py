@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     # Split a skewed join even when the split costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows are whole texts: a batch of the default 10,000 takes much of a worker's memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
