@@ -93,12 +93,17 @@ def version_intervals(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The newest row per key, as an aggregate that combines before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_last"))
-    return last.select(
-        *[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns]
-    )
+    """The newest row per key.
+
+    A rank and not an aggregate of whole rows: columns nobody reads are not scanned, and
+    every map task passes on one row per key.
+    """
+    return _ranked_first(df, keys, _newest_first(order_by))
+
+
+def _ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).select(*df.columns)
 
 
 def patch_latest(
@@ -145,9 +150,5 @@ def dedupe_first_seen(
     df: DataFrame, keys: Sequence[str], seq: Sequence[str], ordered: bool = True
 ) -> DataFrame:
     """The first row per key, in order of first appearance."""
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*seq)).alias("_first"))
-    out = first.select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
-    )
+    out = _ranked_first(df, keys, [F.col(c) for c in seq])
     return out.orderBy(*seq) if ordered else out

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehandoff.scale import GROUP_LIMIT, running_total
+from tablehandoff.scale import running_total
 
 
 def render_with(
@@ -16,15 +16,17 @@ def render_with(
     render: Callable[[list[dict]], bytes],
     file_key: str,
     order_by: Sequence[str],
-    rows_per_file: int = GROUP_LIMIT,
+    *,
+    rows_per_part: int,
 ) -> DataFrame:
-    """(file_key, part, content): ``render(rows) -> bytes`` per file, rows sorted.
+    """(file_key, part, content): ``render(rows) -> bytes`` per part of a file, rows sorted.
 
-    A file of more than ``rows_per_file`` rows becomes numbered parts of that many rows,
-    so a group in one task is never larger; ``order_by`` must be unique inside a file.
+    Every file is cut into numbered parts of ``rows_per_part`` rows and ``render`` is called
+    once for each part, so a header it writes stands in each. No task holds more than a
+    part. ``order_by`` must be unique inside a file.
     """
-    placed = running_total(df, [file_key], order_by, F.lit(1), "_before", rows_per_file)
-    parts = placed.withColumn("part", F.floor(F.col("_before") / rows_per_file).cast("long"))
+    placed = running_total(df, [file_key], order_by, F.lit(1), "_before", rows_per_part)
+    parts = placed.withColumn("part", F.floor(F.col("_before") / rows_per_part).cast("long"))
     columns = [c for c in df.columns if c != file_key]
     order = list(order_by)
 

@@ -11,9 +11,7 @@ from tablehandoff.functions import text
 from tablehandoff.scale import heavy_groups, running_total, split_heavy
 
 BLOCK_BREAK = "\n\n"
-# Characters of one part of a concatenated corpus.
-PART_CHARS = 1_000_000
-# Order of the section groups.
+# Order of the section groups, form of a section, message of the cap.
 SECTION_ORDER = ["sql", "specs", "samples", "mappings"]
 
 
@@ -28,14 +26,15 @@ def concat_corpus(
     path: str,
     content: str,
     order_by: Sequence[str] | None = None,
-    part_chars: int = PART_CHARS,
+    *,
+    part_chars: int,
 ) -> DataFrame:
     """(groups, part, blocks, text): ``### path`` blocks in order, a blank line between.
 
-    Texts are stripped and empty ones dropped. A group is one part unless it is longer
-    than ``part_chars``; then a new part starts whenever that many characters are full,
-    so no task holds more than a part and one text. The parts in order, with a blank line
-    between, are the whole corpus.
+    Texts are stripped and empty ones dropped. In every group a block belongs to part
+    ``characters of the blocks before it / part_chars``, rounded down, so no task holds
+    more than a part and one text. The parts in order, with a blank line between, are the
+    whole corpus.
     """
     order = list(order_by or [path])
     blocks = (
@@ -78,15 +77,20 @@ def group_sections(
     in the fixed order and then by ``seq``.
 
     An item strictly over the cap is a problem and gets no text: it is never cut. The
-    size is added up first, so an item over the cap is not assembled either.
+    size is added up first, so an item over the cap is not assembled either. A section
+    whose kind is not in ``order`` is a problem too: the item names the first such kind
+    and gets no text.
     """
     kinds = F.array(*[F.lit(k) for k in order])
+    place = F.coalesce(F.array_position(kinds, F.col(kind)), F.lit(0))
+    unlisted = F.when(place == 0, F.coalesce(F.col(kind).cast("string"), F.lit("null")))
     parts = df.select(
         *keys,
-        F.array_position(kinds, F.col(kind)).alias("_kind"),
+        place.alias("_kind"),
         F.col(seq).alias("_seq"),
         section(F.col(title), F.col(content)).alias("_block"),
-    ).where(F.col("_kind") > 0)
+        unlisted.alias("_unlisted"),
+    )
     # A line break stands between two sections.
     weight = F.length("_block") + 1
     heavy = heavy_groups(parts, keys, cap + 1, weight=weight)
@@ -95,7 +99,13 @@ def group_sections(
         F.count(F.lit(1)).alias("sections"),
         (F.sum(weight) - 1).alias("chars"),
         _joined(["_kind", "_seq"], "_block", "\n").alias("text"),
-    ).withColumn("problem", F.lit(None).cast("string"))
+        F.min("_unlisted").alias("_unlisted"),
+    )
+    out = out.select(
+        *keys, "sections", "chars",
+        F.when(F.col("_unlisted").isNull(), F.col("text")).alias("text"),
+        F.concat(F.lit("unlisted section kind: "), "_unlisted").alias("problem"),
+    )
     if heavy is None:
         return out
     over = (

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff.functions.text import HASH_PREFIX
-from tablehandoff.scale import GROUP_LIMIT, heavy_groups, split_heavy
 
 # The outputs of a job, and which of them a changed category touches.
 OUTPUTS = ["ords", "mulesoft", "tests"]
@@ -92,30 +91,26 @@ def fingerprint(
     groups: Sequence[str],
     key: str,
     value: str,
-    exact_limit: int = GROUP_LIMIT,
+    form: str,
 ) -> DataFrame:
     """(groups, n, form, fingerprint): a digest per group that ignores row order.
 
-    Groups up to ``exact_limit`` rows get the ``exact`` form, the digest of the sorted
-    rows. Larger ones get the ``sum`` form, the digest of the row count and of the added
-    row digests: it needs no list and combines on the map side, so the size of a group
-    does not matter. The form follows from the content, thus equal contents always give
-    equal fingerprints.
+    ``EXACT`` is the digest of the sorted rows of a group, which must fit a task: the files
+    of a job. ``SUM`` is the digest of the row count and of the added row digests; it
+    combines on the map side and suits groups of any size. The caller picks the form, so
+    digests stored for a group stay comparable however it grows.
     """
     k, v = F.col(key).cast("string"), F.col(value)
-    heavy = heavy_groups(df, groups, exact_limit)
-    light = df if heavy is None else split_heavy(df, groups, heavy)[0]
-    out = light.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.lit(EXACT).alias("form"),
-        _exact_digest(k, v).alias("fingerprint"),
-    )
-    if heavy is None:
-        return out
-    sums = _with_digest(split_heavy(df, groups, heavy)[1], k, v).groupBy(*groups).agg(*_sum_limbs())
-    return out.unionByName(
-        sums.select(*groups, "n", F.lit(SUM).alias("form"), _sum_digest().alias("fingerprint"))
-    )
+    if form == EXACT:
+        return df.groupBy(*groups).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.lit(EXACT).alias("form"),
+            _exact_digest(k, v).alias("fingerprint"),
+        )
+    if form != SUM:
+        raise ValueError(f"form is {EXACT!r} or {SUM!r}, not {form!r}")
+    sums = _with_digest(df, k, v).groupBy(*groups).agg(*_sum_limbs())
+    return sums.select(*groups, "n", F.lit(SUM).alias("form"), _sum_digest().alias("fingerprint"))
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> str:

@@ -200,7 +200,7 @@ def label_actions(t: Tables) -> DataFrame:
 FROM documents GROUP BY source""")
 def fingerprint_exact(t: Tables) -> DataFrame:
     hashed = t.documents.withColumn("h", F.sha2("text", 256))
-    return snapshots.fingerprint(hashed, ["source"], "doc_id", "h")
+    return snapshots.fingerprint(hashed, ["source"], "doc_id", "h", snapshots.EXACT)
 
 
 LIMBS = ", ".join(
@@ -214,9 +214,9 @@ s AS (SELECT source, count(*) AS n, {LIMBS} FROM d GROUP BY source)
 SELECT source, n, 'sum' AS form,
   'sha256:' || sha256(concat_ws(':', n::VARCHAR, {", ".join(f"s{i}" for i in range(11))})) AS fingerprint FROM s""")
 def fingerprint_sum(t: Tables) -> DataFrame:
-    """The form used for groups too large for a sorted list, here for every group."""
+    """The form for groups of any size."""
     hashed = t.documents.withColumn("h", F.sha2("text", 256))
-    return snapshots.fingerprint(hashed, ["source"], "doc_id", "h", exact_limit=0)
+    return snapshots.fingerprint(hashed, ["source"], "doc_id", "h", snapshots.SUM)
 
 
 @query("SELECT doc_id, 'sha256:' || sha256(text) AS hash FROM documents")
@@ -287,7 +287,7 @@ def deliveries_due(t: Tables) -> DataFrame:
     """Outputs to deliver: the built content differs from what was delivered before."""
 
     def prints(docs: DataFrame, name: str) -> DataFrame:
-        found = snapshots.fingerprint(docs, ["job"], "doc_id", "hash")
+        found = snapshots.fingerprint(docs, ["job"], "doc_id", "hash", snapshots.SUM)
         return found.select("job", F.col("fingerprint").alias(name))
 
     outputs = (

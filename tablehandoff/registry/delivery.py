@@ -204,6 +204,7 @@ def render_files(t: Tables) -> DataFrame:
         return "".join(f"{r['c_custkey']}|{r['c_name']}\n" for r in records).encode()
 
     files = render.render_with(
-        t.customer.select("c_nationkey", "c_custkey", "c_name"), pipes, "c_nationkey", ["c_custkey"]
+        t.customer.select("c_nationkey", "c_custkey", "c_name"), pipes, "c_nationkey", ["c_custkey"],
+        rows_per_part=100_000,
     )
     return files.select("c_nationkey", "part", F.sha2("content", 256).alias("digest"))

@@ -120,7 +120,7 @@ def concat_corpus(t: Tables) -> DataFrame:
     turns = t.conversations.withColumn(
         "path", F.concat("role", F.lit("/"), F.col("turn").cast("string"))
     )
-    return sections.concat_corpus(turns, ["conv_id"], "path", "text", ["turn"])
+    return sections.concat_corpus(turns, ["conv_id"], "path", "text", ["turn"], part_chars=1_000_000)
 
 
 @query(f"""WITH c AS (SELECT conv_id, turn, '### ' || role || '/' || turn || chr(10) || chr(10)

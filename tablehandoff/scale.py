@@ -228,19 +228,29 @@ def next_in_group(
     return out.unionByName(placed.select(*df.columns, name))
 
 
+def total_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """``order_by`` and then every other column that can be ordered."""
+    rest = [f.name for f in df.schema if f.name not in order_by and "map<" not in f.dataType.simpleString()]
+    return [*order_by, *rest]
+
+
 def with_position(
     df: DataFrame, order_by: Sequence[str], name: str = "position"
 ) -> DataFrame:
     """Adds the 0-based position of every row in the total order of the table.
 
+    The remaining columns (maps aside, they have no order) break ties, and exact copies
+    of a row are told apart by their row id, so a hot key spreads over the partitions.
     One range shuffle, no window over the table: the position inside the sorted partition
     comes from the row id, the start of a partition from the row counts of the earlier
     ones (one row per partition). The checkpoint fixes the range bounds for both uses.
     """
     checkpoint_folder(df.sparkSession)
+    order = [*total_order(df, order_by), "_copy"]
     placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
+        df.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
         .checkpoint()

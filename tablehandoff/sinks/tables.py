@@ -44,14 +44,18 @@ def read_staging(spark: SparkSession, job_name: str, folder: str) -> DataFrame:
 def append_history(
     df: DataFrame, path: str, batch: str, partition_by: Sequence[str] = ()
 ) -> None:
-    """Archives rows; a repeated ``batch`` replaces itself instead of adding copies."""
-    (
-        df.withColumn("batch", F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", *partition_by)
-        .parquet(path)
-    )
+    """Archives rows; a repeated ``batch`` replaces itself instead of adding copies.
+
+    The folder of the batch is replaced as a whole, so partitions of the attempt before
+    that have no rows any more go too.
+    """
+    if not batch:
+        raise ValueError("a batch has a name")
+    # Never the dynamic mode of the session: it would keep partitions of the attempt before.
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(storage.partition_folder(path, "batch", batch))
 
 
 def upsert_latest(
@@ -107,9 +111,20 @@ def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
-def redeliver(df: DataFrame, path: str, key: str = "job_name") -> None:
-    """Replaces the rows of the jobs in ``df`` only; delivering twice changes nothing."""
+def redeliver(
+    df: DataFrame, path: str, key: str = "job_name", jobs: Sequence[str] = ()
+) -> None:
+    """Replaces the rows of the jobs in ``df`` only; delivering twice changes nothing.
+
+    ``jobs`` names what is delivered: those of them without rows lose their old rows.
+    """
+    empty = set(jobs)
+    if empty:
+        delivered = df.where(F.col(key).isin(sorted(empty))).select(F.col(key).cast("string")).distinct()
+        empty -= {r[0] for r in delivered.collect()}  # at most as many as were named
     _replace_partitions(df, path, key)
+    for job in sorted(empty):
+        storage.delete(df.sparkSession, storage.partition_folder(path, key, job))
 
 
 def materialize_if_changed(

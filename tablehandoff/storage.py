@@ -51,6 +51,13 @@ def file_size(spark: SparkSession, path: str) -> int | None:
     return status.getLen() if status.isFile() else None
 
 
+def partition_folder(path: str, column: str, value: str) -> str:
+    """The folder of a partition, its value escaped as Spark's writers do."""
+    special = r"[\x00-\x1f\x7f\"#%'*/:=?\\{}\[\]^]"
+    escaped = re.sub(special, lambda m: f"%{ord(m[0]):02X}", value)
+    return f"{path.rstrip('/')}/{column}={escaped}"
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename that replaces an existing target."""
     hadoop = spark._jvm.org.apache.hadoop.fs

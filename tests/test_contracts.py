@@ -246,8 +246,11 @@ def test_pages(spark):
     third = table.page(df, ["k"], 3, 300)
     assert sorted(r.k for r in third.collect()) == list(range(601, 901))
     assert table.page(df, ["k"], 9, 300).count() == 0
-    deep = table.page(df, ["k"], 2, 1_000_000)
-    assert deep.count() == 0
+    tied = df.select(F.lit(1).alias("t"), "k")
+    pages = [table.page(tied.repartition(n + 1, "k"), ["t"], n, 250) for n in (1, 2, 3, 4)]
+    assert [sorted(r.k for r in p.collect()) for p in pages] == [
+        list(range(250 * n + 1, 250 * n + 251)) for n in range(4)
+    ]
     with pytest.raises(ValueError):
         table.page(df, ["k"], 0, 10)
 

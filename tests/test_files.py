@@ -233,6 +233,24 @@ def test_history_append_is_repeatable(spark, folder, extract):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_repeated_batch_keeps_nothing_of_the_attempt_before(spark, folder):
+    path, batch = f"{folder}/h", "2024-01-01 10:00/a=b%"
+    rows_of = spark.createDataFrame([("j1", 1), ("j2", 2)], "job string, v int")
+    tables.append_history(rows_of, path, batch, ["job"])
+    tables.append_history(rows_of, path, "other", ["job"])
+    tables.append_history(rows_of.where("v = 1"), path, batch, ["job"])
+    got = spark.read.parquet(path).where(F.col("batch") == batch).select("job", "v")
+    assert rows(got) == [("j1", 1)]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_redeliver_without_rows(spark, folder):
+    path = f"{folder}/t"
+    tables.redeliver(spark.createDataFrame([("a:1", 1), ("b", 2), ("c", 3)], "job_name string, v int"), path)
+    tables.redeliver(spark.createDataFrame([("b", 9)], "job_name string, v int"), path, jobs=["a:1", "b"])
+    assert rows(spark.read.parquet(path).select("job_name", "v")) == [("b", 9), ("c", 3)]
+
+
 def test_redeliver_replaces_only_its_job(spark, folder):
     path = f"{folder}/t"
     tables.redeliver(spark.createDataFrame([("a", 1), ("b", 2)], "job_name string, v int"), path)

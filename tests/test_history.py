@@ -115,7 +115,7 @@ def test_corpus_parts(spark):
 
 def test_sections_over_the_cap_are_problems(spark):
     data = [
-        ("j", "samples", 0, "c", "3"), ("j", "sql", 1, "b", "2"), ("j", "sql", 0, "a", "1"), ("j", "odd", 0, "z", "9"),
+        ("j", "samples", 0, "c", "3"), ("j", "sql", 1, "b", "2"), ("j", "sql", 0, "a", "1"), ("k", "odd", 0, "z", "9"), ("k", "sql", 0, "a", "1"),
         ("big", "sql", 0, "a", "x" * 48_000),
     ]
     df = spark.createDataFrame(data, "job string, kind string, seq int, title string, body string")
@@ -124,6 +124,7 @@ def test_sections_over_the_cap_are_problems(spark):
     assert got["j"].text == "\n".join(blocks) and got["j"].problem is None
     assert got["j"].chars == len(got["j"].text) and got["j"].sections == 3
     assert got["big"].text is None and "over the 48000-char cap" in got["big"].problem
+    assert got["k"].text is None and got["k"].problem == "unlisted section kind: odd"
 
 
 def test_section_cap_is_strict(spark):
@@ -163,8 +164,8 @@ def test_render(spark):
     def lines(records):
         return "".join(f"{r['n']:03d}{r['v']}\n" for r in records).encode()
 
-    whole = {r.file: bytes(r.content) for r in render_with(df, lines, "file", ["n"]).collect()}
+    whole = {r.file: bytes(r.content) for r in render_with(df, lines, "file", ["n"], rows_per_part=100).collect()}
     assert whole == {"a": lines([{"n": i, "v": f"v{i}"} for i in range(25)]), "b": b"001x\n"}
-    parts = render_with(df, lines, "file", ["n"], rows_per_file=10).orderBy("file", "part").collect()
+    parts = render_with(df, lines, "file", ["n"], rows_per_part=10).orderBy("file", "part").collect()
     assert [r.part for r in parts] == [0, 1, 2, 0]
     assert b"".join(bytes(r.content) for r in parts if r.file == "a") == whole["a"]

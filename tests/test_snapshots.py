@@ -152,17 +152,23 @@ def test_fingerprint_forms(spark):
     cold = {"b": "2", "a": "1", "ä": "3"}
     data = [("hot", k, v) for k, v in hot.items()] + [("cold", k, v) for k, v in cold.items()]
     df = spark.createDataFrame(data, HASHES)
-    got = {r.job: r for r in snapshots.fingerprint(df, ["job"], "path", "hash", 50).collect()}
-    assert (got["cold"].form, got["cold"].n) == ("exact", 3)
-    assert got["cold"].fingerprint == reference_digest(cold)
-    assert (got["hot"].form, got["hot"].n) == ("sum", 60)
-    again = snapshots.fingerprint(df.repartition(7).orderBy(F.desc("path")), ["job"], "path", "hash", 50)
-    assert {r.job: r.fingerprint for r in again.collect()} == {j: r.fingerprint for j, r in got.items()}
     edited = df.withColumn("hash", F.when(F.col("path") == "p7", "x").otherwise(F.col("hash")))
-    after = snapshots.fingerprint(edited, ["job"], "path", "hash", 50).collect()
-    assert {r.job: r.fingerprint == got[r.job].fingerprint for r in after} == {"hot": False, "cold": True}
-    exact = snapshots.fingerprint(df, ["job"], "path", "hash").where("job = 'hot'").first()
-    assert exact.fingerprint == reference_digest(hot)
+    for form in (snapshots.EXACT, snapshots.SUM):
+
+        def prints(rows):
+            return {r.job: r for r in snapshots.fingerprint(rows, ["job"], "path", "hash", form).collect()}
+
+        got = prints(df)
+        assert {j: (r.form, r.n) for j, r in got.items()} == {"cold": (form, 3), "hot": (form, 60)}
+        again = prints(df.repartition(7).orderBy(F.desc("path")))
+        assert {j: r.fingerprint for j, r in again.items()} == {j: r.fingerprint for j, r in got.items()}
+        after = prints(edited)
+        assert {j: r.fingerprint == got[j].fingerprint for j, r in after.items()} == {"hot": False, "cold": True}
+        if form == snapshots.EXACT:
+            assert got["cold"].fingerprint == reference_digest(cold)
+            assert got["hot"].fingerprint == reference_digest(hot)
+    with pytest.raises(ValueError):
+        snapshots.fingerprint(df, ["job"], "path", "hash", "other")
 
 
 def test_snapshot_diff_with_nulls_and_copies(spark):
