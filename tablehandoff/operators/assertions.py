@@ -217,8 +217,6 @@ def default_checks(
         _result(one, "file exists", F.lit(not absent), F.lit(f"{absent} files missing")),
         _result(one, "file is not empty", F.lit(not empty), F.lit(f"{empty} empty files")),
     ]
-    if not there:
-        return results[0]
     paths = [f"{base}/{n}" for n in there]
     if header is not None:
         results.append(assert_header(spark, paths, header))
@@ -227,6 +225,8 @@ def default_checks(
 
 
 def _parses(spark, paths, fmt, schema, row_tag, layout) -> DataFrame:
+    if not paths:
+        return _result(spark.range(1), f"parses as {fmt}", F.lit(False), F.lit("no file to read"))
     rows = files.read_format(spark, paths, fmt, schema, row_tag, layout, keep_corrupt=True)
     counted = rows.agg(F.count_if(files.corrupt(rows)).alias("n"))
     return _result(

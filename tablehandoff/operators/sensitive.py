@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-# Characters of the values one search automaton is built from.
+# Characters of the values of one block; a block is broadcast as one row.
 CHUNK_CHARS = 4_000_000
 
 
@@ -41,52 +38,22 @@ def sensitive_scan(
 ) -> DataFrame:
     """(key, name) for every non-empty value that occurs in a text, each once.
 
-    All values are searched in one pass over each text (a multi-pattern automaton inside
-    an Arrow batch), so the cost does not grow with texts x values and nothing is
-    shuffled. The values of one pass are limited to ``chunk_chars``; more values are split
-    by hash into that many passes. They travel as a broadcast variable and appear in no
-    plan, log or result.
+    The values are a stated query set, taken in blocks against all texts: the values of a
+    block are one broadcast row of about ``chunk_chars`` characters (one value may be longer),
+    and every text is searched for all of them in one step of generated code. Nothing of the
+    texts is shuffled. The values come from their table at run time and appear in no plan, log or result.
     """
     spark = texts.sparkSession
-    wanted = values.select(name, value).where(F.coalesce(F.length(value), F.lit(0)) > 0)
-    chunks = _chunks(wanted, value, chunk_chars)
-    schema = texts.select(key).schema.add(wanted.schema[name])
-    plain = texts.select(key, content).where(F.col(content).isNotNull())
+    wanted = values.select(F.col(name).alias("_name"), F.col(value).alias("_value"))
+    wanted = wanted.where(F.coalesce(F.length("_value"), F.lit(0)) > 0)
+    chunks = _chunks(wanted, "_value", chunk_chars)
+    plain = texts.select(F.col(key).alias("_key"), F.col(content).alias("_text")).where(F.col(content).isNotNull())
     found = None
     for i in range(chunks):
-        mine = wanted.where(F.pmod(F.xxhash64(value), F.lit(chunks)) == i)
-        names: dict[str, list] = {}
-        for row in mine.toLocalIterator():
-            names.setdefault(row[1], []).append(row[0])
-        if not names:
-            continue
-        shared = spark.sparkContext.broadcast({"names": names})
-        hits = plain.mapInArrow(_finder(shared, key, name, to_arrow_type(schema[name].dataType)), schema)
+        mine = wanted.where(F.pmod(F.xxhash64("_value"), F.lit(chunks)) == i)
+        block = mine.agg(F.collect_list(F.struct("_name", "_value")).alias("_block"))
+        inside = F.filter("_block", lambda v: F.contains(F.col("_text"), v["_value"]))
+        names = F.array_distinct(F.transform(inside, lambda v: v["_name"]))
+        hits = plain.join(F.broadcast(block)).select(F.col("_key").alias(key), F.explode(names).alias(name))
         found = hits if found is None else found.unionByName(hits)
-    return spark.createDataFrame([], schema) if found is None else found
-
-
-def _finder(shared, key: str, name: str, name_type: pa.DataType):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Kept beside the values, so that a worker process builds it once for all its tasks.
-        kept = shared.value
-        if "automaton" not in kept:
-            import ahocorasick
-
-            kept["automaton"] = ahocorasick.Automaton()
-            for value, names in kept["names"].items():
-                kept["automaton"].add_word(value, names)
-            kept["automaton"].make_automaton()
-        automaton = kept["automaton"]
-        for batch in batches:
-            keys, bodies = batch.columns
-            places, hits = [], []
-            for i, body in enumerate(bodies):
-                found = {n for _, names in automaton.iter(body.as_py()) for n in names}
-                places.extend([i] * len(found))
-                hits.extend(found)
-            yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(places, pa.int64())), pa.array(hits, name_type)], [key, name]
-            )
-
-    return find
+    return found

@@ -61,7 +61,7 @@ class DownloadJob:
     header: str | None = None
     not_null: Sequence[str] = ()
     golden: DataFrame | None = None
-    rows_per_file: int = file_sinks.ROWS_PER_FILE
+    rows_per_file: int | None = None
 
 
 @dataclass(frozen=True)

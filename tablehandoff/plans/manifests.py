@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,24 @@ DEFAULT_CONNECTIONS = {"oracle": "oracle_dev", "mulesoft": "mule_dev"}
 # Messages.
 UNSET = "Secret {name} not configured in repo Settings → Secrets → Actions"
 
+KINDS = {"STRING": "a text", "OBJECT": "a mapping", "ARRAY": "a list"}
+# Path, kind, may be null. What may not be left out has a rule of its own.
+SHAPE = [
+    ("job_name", "STRING", True),
+    ("sources", "OBJECT", True),
+    *[(f"sources.{n}", "ARRAY", False) for n in ROLES],
+    ("destination", "OBJECT", False),
+    *[(f"destination.{n}", "STRING", True) for n in ("connection", "path", "file_name_pattern")],
+    ("connections", "OBJECT", False),
+    *[(f"connections.{n}", "STRING", False) for n in ("oracle", "mulesoft")],
+    ("mulesoft_delivery", "OBJECT", True),
+    *[(f"mulesoft_delivery.{n}", "STRING", True) for n in ("repo", "branch")],
+    ("testing", "OBJECT", True),
+    ("testing.expected_row_logic", "STRING", True),
+    ("testing.key_assertions", "ARRAY", False),
+    ("testing.expected_files", "ARRAY", False),
+]
+
 _SOURCE_CATEGORY = {"sql": "sql", "specs": "specs", "samples": "samples", "mappings": "destination"}
 
 
@@ -57,6 +77,50 @@ def _m(path: str) -> Column:
     return F.col(f"m.{path}")
 
 
+def _raw(path: str, kind: str = "variant") -> Column:
+    """The value at a path as it is written, whatever its type; null if it is absent."""
+    return F.try_variant_get(F.try_parse_json("header"), f"$.{path}", kind)
+
+
+def _written_as(value: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def typed(path: str, kind: str, nullable: bool) -> contract.Rule:
+    """A field that is there is of its kind (STRING, OBJECT or ARRAY); null only if ``nullable``."""
+    allowed = [kind, "VOID"] if nullable else [kind]
+    holds = F.coalesce(_written_as(_raw(path)).isin(allowed), F.lit(True))
+    return contract.Rule(holds, F.lit(f"{path}: must be {KINDS[kind]}"))
+
+
+def item_rules(path: str, texts: Sequence[str], allowed: Sequence[str]) -> list[contract.ListRule]:
+    """Every item of a list is a mapping of the ``allowed`` fields, and ``texts`` are texts."""
+    items = _raw(path, "array<variant>")
+    fields = F.transform(items, lambda x: F.try_variant_get(x, "$", "map<string,variant>"))
+    names = F.flatten(F.transform(F.array_compact(fields), F.map_keys))
+    rules = [
+        contract.no_unknown_fields(path, names, allowed),
+        contract.ListRule(
+            F.transform(items, _written_as),
+            lambda kind: kind == "OBJECT",
+            lambda _: F.lit(f"{path}: every item must be a mapping"),
+        ),
+    ]
+    for name in texts:
+        written = F.transform(
+            F.array_compact(fields),
+            lambda m: F.coalesce(_written_as(F.try_element_at(m, F.lit(name))), F.lit("VOID")),
+        )
+        rules.append(contract.ListRule(
+            written,
+            lambda kind: kind == "STRING",
+            lambda kind: F.when(kind == "VOID", f"{path}: field {name} required").otherwise(
+                f"{path}: {name} must be a text"
+            ),
+        ))
+    return rules
+
+
 def manifest_rules() -> list[contract.Rule | contract.ListRule]:
     rules: list[contract.Rule | contract.ListRule] = [
         contract.Rule(
@@ -77,13 +141,23 @@ def manifest_rules() -> list[contract.Rule | contract.ListRule]:
     for parent in ("sources", "destination", "connections", "mulesoft_delivery", "testing"):
         keys = F.json_object_keys(F.get_json_object("header", f"$.{parent}"))
         rules.append(contract.no_unknown_fields(parent, keys, MANIFEST[parent].dataType.names))
+    for path, kind, nullable in SHAPE:
+        rules.append(typed(path, kind, nullable))
+    for name in ROLES:  # a role that is missing or no text is an unknown role
+        rules.extend(item_rules(f"sources.{name}", ["file"], ["file", "role"]))
+    rules.extend(item_rules("testing.expected_files", ["file", "compare"], ["file", "compare"]))
+    rules.append(contract.ListRule(
+        F.transform(_raw("testing.key_assertions", "array<variant>"), _written_as),
+        lambda kind: kind == "STRING",
+        lambda _: F.lit("testing.key_assertions: every item must be a text"),
+    ))
     return rules
 
 
 def referenced_files(manifests: DataFrame) -> DataFrame:
     """(job, seq, path): source lists in their order, then the expected files."""
     lists = [F.col(f"m.sources.{n}.file") for n in ROLES] + [_m("testing.expected_files.file")]
-    return manifests.select("job", F.posexplode(flatten_refs(*lists)).alias("seq", "path"))
+    return manifests.select("job", F.posexplode(F.array_compact(flatten_refs(*lists))).alias("seq", "path"))
 
 
 def reference_categories(manifests: DataFrame) -> DataFrame:
@@ -126,12 +200,16 @@ def manifest_report(
     connections: DataFrame,
     set_names: DataFrame,
     known: list[str],
+    registry_error: str | None = None,
 ) -> DataFrame:
     """(job, severity, message) over all jobs.
 
     manifests(job, text, header): text is null when the manifest is missing, header the
     JSON of its front matter · files(job, path) below the job · connections(name, secrets
     map role -> variable) · set_names(name) · known: names in the registry.
+
+    ``registry_error`` says why the registry could not be read: every readable job gets it as
+    one error in place of the checks of its connections; the other findings stay.
     """
     # One small row per job, parsed once for all the checks below.
     checkpoint_folder(manifests.sparkSession)
@@ -160,6 +238,9 @@ def manifest_report(
     orphans = files.where(in_lists).join(refs, ["job", "path"], "left_anti").select(
         "job", F.format_string("job/%s exists but is not referenced", "path").alias("message")
     )
+    if registry_error is not None:
+        unread = parsed.select("job", F.lit(registry_error).alias("message"))
+        return quality_report("job", broken, [absent, unread], [orphans])
     used = used_connections(parsed)
     listed = ", ".join(f"'{k}'" for k in known)
     unknown = used.where(~F.col("name").isin(known)).select(

@@ -18,6 +18,7 @@ from tablehandoff.sources.files import FixedColumn
 
 RUN_DATE = date(2026, 2, 10)
 COLUMNS = ["c_custkey", "c_name", "o_orderkey", "o_orderdate", "o_totalprice"]
+ROWS_PER_FILE = 2_000_000
 DATES = {"o_orderdate": "YYYY-MM-DD"}
 LAYOUT = [
     FixedColumn("c_custkey", 14, "bigint", "right", " "),
@@ -69,6 +70,7 @@ def download(t: Tables, fmt: str, ext: str) -> DataFrame:
         layout=LAYOUT,
         header=",".join(COLUMNS) if fmt == "csv" else None,
         not_null=["c_custkey", "o_orderkey"],
+        rows_per_file=ROWS_PER_FILE,
     )
     return run_download(job).delivered
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff import session
+from tablehandoff.functions import text
 from tablehandoff.operators import assertions, contract, history, rows, snapshots
 from tablehandoff.plans import jobs
 from tablehandoff.registry.base import STG, Tables, query, staged
@@ -16,6 +17,7 @@ from tablehandoff.registry.versions import NEWEST
 from tablehandoff.sinks import files as file_sinks
 from tablehandoff.sinks import tables
 from tablehandoff.sources import files
+from tablehandoff.sources.files import FixedColumn
 from tablehandoff.streaming import landing
 
 SCHEMA = "c_custkey BIGINT, c_name STRING, o_orderkey BIGINT, o_orderdate STRING, o_totalprice DOUBLE"
@@ -111,15 +113,43 @@ def delivered_sample(t: Tables) -> DataFrame:
     return head.select("line_no", "line")
 
 
-@query("""SELECT * FROM (VALUES ('file exists', true, '0 files missing'), ('file is not empty', true, '0 empty files'),
-  ('header matches the sample', true, '0 of 1 files differ'), ('parses as csv', true, '0 bad records'))
-  AS v(assertion, passed, detail)""")
+@query(f"""WITH {STG} SELECT 'file exists' AS assertion, false AS passed, '1 files missing' AS detail
+UNION ALL SELECT 'file is not empty', false, '1 empty files'
+UNION ALL SELECT 'header matches the sample', false, '2 of 3 files differ'
+UNION ALL SELECT 'parses as csv', count(*) = 0, count(*) || ' bad records' FROM stg WHERE c_mktsegment = 'BUILDING'""")
 def default_checks(t: Tables) -> DataFrame:
     folder = session.work_folder(t.spark, "checks")
-    file_sinks.deliver_csv(extract(t), f"{folder}/out", "orders.csv", RUN_DATE, KEYS)
-    return assertions.default_checks(
-        t.spark, f"{folder}/out", ["orders.csv"], "csv", SCHEMA, ",".join(COLUMNS)
-    )
+    good = extract(t)
+    file_sinks.deliver_csv(good, f"{folder}/out", "orders.csv", RUN_DATE, KEYS)
+    # Keys that are no numbers, for one segment, under another header.
+    unread = F.when(F.col("c_mktsegment") == "BUILDING", "none").otherwise(F.col("c_custkey").cast("string"))
+    other = extract(t, [*COLUMNS, "c_mktsegment"]).withColumn("c_custkey", unread)
+    renamed = other.select(*COLUMNS).withColumnRenamed("c_custkey", "key")
+    file_sinks.deliver_csv(renamed, f"{folder}/out", "other.csv", RUN_DATE, ["o_orderkey"])
+    nothing = [FixedColumn("c_name", 30)]
+    file_sinks.deliver_fixed(good.limit(0), nothing, f"{folder}/out", "empty.csv", RUN_DATE, ["c_name"])
+    names = ["orders.csv", "other.csv", "empty.csv", "gone.csv"]
+    return assertions.default_checks(t.spark, f"{folder}/out", names, "csv", SCHEMA, ",".join(COLUMNS))
+
+
+HASHED = """'{prefix}' || sha256('{header}' || chr(10) || string_agg(c_custkey || ',' || c_name || ',' || o_orderkey || ',' || o_orderdate
+  || chr(10), '' ORDER BY c_custkey, o_orderkey))""".format(prefix=text.HASH_PREFIX, header=",".join(TEXT_COLUMNS))
+
+
+@query(f"""WITH {STG} SELECT 'orders_1.csv' AS name, {HASHED} AS hash FROM stg
+UNION ALL SELECT 'orders_3.csv', {HASHED} FROM stg WHERE o_orderdate < '1995-06-01'""")
+def skip_identical(t: Tables) -> DataFrame:
+    """Three delivered files in two runs of a stream; the second has the content of the first."""
+    folder = session.work_folder(t.spark, "identical")
+    every = extract(t, TEXT_COLUMNS)
+    early = every.where(F.col("o_orderdate") < "1995-06-01")
+    for name, df in (("orders_1.csv", every), ("orders_2.csv", every), ("orders_3.csv", early)):
+        file_sinks.deliver_csv(df, f"{folder}/in", name, RUN_DATE, KEYS)
+        if name != "orders_1.csv":
+            arrived = landing.landing_files(t.spark, f"{folder}/in", "orders_")
+            landing.skip_identical(arrived, f"{folder}/t", f"{folder}/s", f"{folder}/c").awaitTermination()
+    stored = t.spark.read.parquet(f"{folder}/t")
+    return stored.select(F.element_at(F.split("path", "/"), -1).alias("name"), "hash")
 
 
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehandoff.functions import text
-from tablehandoff.operators import contract, markup, rows, sections, sensitive
+from tablehandoff.operators import contract, rows, sections, sensitive
 from tablehandoff.registry.base import SQL_JOB, Tables, job_name, query, sql_strip
 from tablehandoff.sinks import report
 
@@ -185,18 +185,6 @@ def redact(t: Tables) -> DataFrame:
     )
 
 
-@query("""SELECT page_id, NOT contains(url, '&') AS well_formed FROM pages""")
-def xml_wellformed(t: Tables) -> DataFrame:
-    """An element around each address: a bare ampersand makes it malformed."""
-    body = F.concat(F.lit("<page><url>"), "url", F.lit("</url></page>"))
-    return t.pages.select("page_id", markup.is_well_formed_xml(body).alias("well_formed"))
-
-
-@query()
-def xml_wellformed_pages(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", markup.is_well_formed_xml(F.col("html")).alias("well_formed"))
-
-
 @query(f"""WITH j AS (SELECT source AS job, bool_and(length(text) <= 8000) AS passed, bool_or(lang = 'es') AS confident
   FROM documents GROUP BY 1)
 SELECT job, 0 AS section, 0::BIGINT AS seq, '# Run report — ' || job AS line FROM j

@@ -17,17 +17,12 @@ from tablehandoff.functions.dates import resolve_file_name
 from tablehandoff import storage
 from tablehandoff.sources.files import FixedColumn
 
-# Rows of one delivered file; a larger export becomes numbered files of about this size.
-# Raise it for exports of very many rows: every file is a shuffle partition.
-ROWS_PER_FILE = 2_000_000
-
-
 class LayoutError(ValueError):
     """A value does not fit its fixed-width column."""
 
 
 def ordered_parts(
-    df: DataFrame, order_by: Sequence[str], rows: int, rows_per_file: int
+    df: DataFrame, order_by: Sequence[str], rows: int | None, rows_per_file: int | None
 ) -> DataFrame:
     """``df`` in as many sorted partitions as files; partition i sorts before i + 1.
 
@@ -35,7 +30,7 @@ def ordered_parts(
     the scan, so that even a third of the table being one row spreads over the files.
     """
     order = [*order_by, *[c for c in df.columns if c not in order_by]]
-    parts = max(1, math.ceil(rows / rows_per_file))
+    parts = 1 if rows_per_file is None else max(1, math.ceil(rows / rows_per_file))
     if parts == 1:
         return df.repartition(1).sortWithinPartitions(*order)
     return (
@@ -46,10 +41,13 @@ def ordered_parts(
     )
 
 
-def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
+def publish(
+    df: DataFrame, staged: str, directory: str, name: str, numbered: bool
+) -> list[str]:
     """Moves the part files in ``staged`` to their final names and returns those.
 
-    One part takes ``name`` itself, several take ``stem-00000.ext`` and so on. Files of
+    The caller decides the names, never the number of rows: ``name`` itself for the only
+    part, or if ``numbered`` ``stem-00000.ext`` and so on, also for a single part. Files of
     an earlier delivery under the same name that are no longer part of it are removed.
     """
     spark = df.sparkSession
@@ -64,7 +62,7 @@ def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
     if not dot:
         stem, ext = name, ""
     names = (
-        [name] if len(parts) == 1 else [f"{stem}-{i:05d}{dot}{ext}" for i in range(len(parts))]
+        [f"{stem}-{i:05d}{dot}{ext}" for i in range(len(parts))] if numbered else [name]
     )
     with ThreadPoolExecutor(16) as pool:
         moves = zip(parts, names)
@@ -77,6 +75,11 @@ def publish(df: DataFrame, staged: str, directory: str, name: str) -> list[str]:
     return [f"{base}/{n}" for n in names]
 
 
+def _rows(df: DataFrame, rows_per_file: int | None) -> int | None:
+    """The number of rows if the number of files depends on it."""
+    return None if rows_per_file is None else df.count()
+
+
 def _staged(directory: str) -> str:
     return f"{directory.rstrip('/')}/.incoming-{uuid.uuid4().hex}"
 
@@ -87,14 +90,24 @@ def deliver_csv(
     pattern: str,
     run_date: date,
     order_by: Sequence[str],
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     sep: str = ",",
 ) -> list[str]:
-    """Header plus rows in export order; zero rows still give a file with the header."""
+    """Header plus rows in export order; zero rows still give a file with the header.
+
+    Without ``rows_per_file`` one file of the agreed name, written by one task; with it
+    numbered files. A value with a line break is an error: readers take a line for a row.
+    """
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "varchar", "char")]
+    broken = [F.count_if(F.col(c).rlike(r"[\r\n]")).alias(c) for c in texts]
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *broken).first()
+    wrong = [f"{c}: {counted[c]} rows" for c in texts if counted[c]]
+    if wrong:
+        raise LayoutError("values hold line breaks (" + ", ".join(wrong) + ")")
     staged = _staged(directory)
-    parts = ordered_parts(df, order_by, df.count(), rows_per_file)
+    parts = ordered_parts(df, order_by, counted["_rows"], rows_per_file)
     parts.write.option("header", True).option("sep", sep).option("escape", '"').csv(staged)
-    return publish(df, staged, directory, resolve_file_name(pattern, run_date))
+    return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
 def fixed_line(layout: Sequence[FixedColumn]) -> Column:
@@ -128,7 +141,7 @@ def deliver_fixed(
     pattern: str,
     run_date: date,
     order_by: Sequence[str],
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
 ) -> list[str]:
     bad = misfit(layout)
     checks = df.agg(
@@ -141,7 +154,7 @@ def deliver_fixed(
     staged = _staged(directory)
     parts = ordered_parts(df, order_by, checks["_rows"], rows_per_file)
     parts.select(fixed_line(layout).alias("value")).write.text(staged)
-    return publish(df, staged, directory, resolve_file_name(pattern, run_date))
+    return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
 def deliver_json(
@@ -150,13 +163,13 @@ def deliver_json(
     pattern: str,
     run_date: date,
     order_by: Sequence[str],
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
 ) -> list[str]:
     """One object per line, null fields written out."""
     staged = _staged(directory)
-    parts = ordered_parts(df, order_by, df.count(), rows_per_file)
+    parts = ordered_parts(df, order_by, _rows(df, rows_per_file), rows_per_file)
     parts.write.option("ignoreNullFields", False).json(staged)
-    return publish(df, staged, directory, resolve_file_name(pattern, run_date))
+    return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
 def deliver_xml(
@@ -167,12 +180,12 @@ def deliver_xml(
     order_by: Sequence[str],
     row_tag: str,
     root_tag: str,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
 ) -> list[str]:
     staged = _staged(directory)
-    parts = ordered_parts(df, order_by, df.count(), rows_per_file)
+    parts = ordered_parts(df, order_by, _rows(df, rows_per_file), rows_per_file)
     parts.write.format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(staged)
-    return publish(df, staged, directory, resolve_file_name(pattern, run_date))
+    return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
 def any_misfit(layout: Sequence[FixedColumn]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
 from collections.abc import Sequence
@@ -82,16 +83,23 @@ def watch_landing(
         time.sleep(min(poll_s, left))
 
 
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """A name for a micro-batch that no stream with another checkpoint has."""
+    return f"{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{batch_id}"
+
+
 def stream_upload(
     rows: DataFrame, target: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Every micro-batch becomes the partition ``batch=<id>`` of the target table.
+    """Every micro-batch becomes a partition ``batch`` of the target table.
 
-    A replayed batch overwrites its own partition, so rows are neither lost nor doubled.
+    A replayed batch overwrites its own partition, so rows are neither lost nor doubled. The
+    partition names the checkpoint as well: a stream with another checkpoint starts at batch 0
+    again and must not replace what is loaded.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        tables.append_history(batch, target, str(batch_id))
+        tables.append_history(batch, target, batch_name(checkpoint, batch_id))
 
     return (
         rows.writeStream.foreachBatch(load)
@@ -107,26 +115,26 @@ def skip_identical(
     """Appends (path, hash, content) of files whose content was not seen before.
 
     The hashes seen live in a table, so the stream itself keeps no growing state. Hashes
-    recorded by the same batch id are ignored: they come from an attempt that is being
+    recorded by the same batch are ignored: they come from an attempt that is being
     replayed and will be overwritten.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, own = batch.sparkSession, batch_name(checkpoint, batch_id)
         hashed = batch.select("path", "content", content_hash(F.col("content")).alias("hash"))
         # Of equal files in one batch the first path counts; contents stay out of the shuffle.
         first = hashed.groupBy("hash").agg(F.min("path").alias("path"))
         if storage.exists(spark, state):
             known = (
                 spark.read.schema("hash STRING, batch STRING").parquet(state)
-                .where(F.col("batch") != str(batch_id))
+                .where(F.col("batch") != own)
                 .select("hash")
             )
             first = first.join(known, "hash", "left_anti")
         first = first.checkpoint()
         new = hashed.join(first, ["hash", "path"], "left_semi")
-        tables.append_history(new, target, str(batch_id))
-        tables.append_history(first.select("hash"), state, str(batch_id))
+        tables.append_history(new, target, own)
+        tables.append_history(first.select("hash"), state, own)
 
     work_folder(stream.sparkSession, "skip")  # names the checkpoint folder of the session
     return (

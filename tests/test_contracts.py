@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablehandoff.operators import contract, references
 from tablehandoff.operators import rows as table
-from tablehandoff.operators.markup import is_well_formed_xml
 from tablehandoff.plans import manifests
 from test_snapshots import BASE, changed
 
@@ -43,7 +42,7 @@ CASES = {
 }
 
 
-def run_report(spark, cases, set_names):
+def run_report(spark, cases, set_names, registry_error=None):
     """{job: (errors, warnings)}"""
     jobs = [(j, text, header) for j, (header, text, _) in cases.items()]
     there = [(j, f) for j, (_, _, files) in cases.items() for f in files]
@@ -56,7 +55,7 @@ def run_report(spark, cases, set_names):
     out = manifests.manifest_report(
         spark.createDataFrame(jobs, "job string, text string, header string"),
         spark.createDataFrame(there, "job string, path string"), connections,
-        spark.createDataFrame([(n,) for n in set_names], "name string"), KNOWN,
+        spark.createDataFrame([(n,) for n in set_names], "name string"), KNOWN, registry_error,
     ).collect()
     return {
         j: tuple([r.message for r in out if (r.job, r.severity) == (j, s)] for s in ("error", "warning"))
@@ -69,6 +68,41 @@ def report(spark):
     return run_report(spark, CASES, SET)
 
 
+SHAPES = {
+    "unknown in item": (changed(sources={"sql": [{"file": "a", "role": "export", "x": 1}]}), ["sources.sql: unknown field 'x'"]),
+    "list as text": (changed(sources={"sql": "a.sql"}), ["sources.sql: must be a list"]),
+    "item as text": (changed(sources={"specs": ["a.txt"]}), ["sources.specs: every item must be a mapping"]),
+    "no file": (changed(sources={"specs": [{"role": "business_rules"}]}), ["sources.specs: field file required"]),
+    "file no text": (changed(sources={"specs": [{"file": 5, "role": "business_rules"}]}), ["sources.specs: file must be a text"]),
+    "testing as text": (changed(testing="none"), ["testing: must be a mapping"]),
+    "no compare": (
+        changed(testing={"key_assertions": [], "expected_files": [{"file": "tests/a"}]}),
+        ["testing.expected_files: field compare required"],
+    ),
+    "assertion no text": (
+        changed(testing={"key_assertions": [1], "expected_files": []}),
+        ["testing.key_assertions: every item must be a text"],
+    ),
+    "connections as text": (changed(connections="dev"), ["connections: must be a mapping"]),
+    "connection null": (changed(connections={"oracle": None}), ["connections.oracle: must be a text"]),
+    "path no text": (changed(destination={"path": 5}), ["destination.path: must be a text"]),
+}
+
+
+def test_every_level_of_a_manifest(spark):
+    got = run_report(spark, {name: case(header) for name, (header, _) in SHAPES.items()}, SET)
+    shown = {name: [m for m in got[name][0] if "unknown role" not in m] for name in SHAPES}
+    assert shown == {name: messages for name, (_, messages) in SHAPES.items()}
+
+
+def test_unread_registry_is_a_finding(spark):
+    cases = {n: CASES[n] for n in ("fine", "absent", "mode")}
+    got = run_report(spark, cases, [], "registry not found")
+    assert got["fine"][0] == ["registry not found"]
+    assert sorted(got["absent"][0])[-1] == "registry not found" and len(got["absent"][0]) == 2
+    assert got["mode"][0] != [] and "registry not found" not in got["mode"][0]
+
+
 def test_worked_job_is_fine(report):
     assert report["fine"] == ([], [])
 
@@ -153,20 +187,6 @@ def test_markers(spark):
     assert [len(r.p) for r in df.select(found.alias("p")).collect()] == [2, 1, 0, 0]
 
 
-@pytest.mark.parametrize(
-    "body, good",
-    [
-        ("<mule/>", True), ("<a><b>x</b></a>", True), ('<?xml version="1.0" encoding="UTF-8"?><a>é</a>', True),
-        ('<m:a xmlns:m="u"/>', True), ("<mule><unclosed>", False), ("<mule><flow></mule>", False),
-        ("<a/><b/>", False), ("<a/>junk", False), ("", False), ("<m:a/>", False), ("<a>&nbsp;</a>", False),
-        ("<a>&</a>", False), (None, None),
-    ],
-)
-def test_xml(spark, body, good):
-    df = spark.createDataFrame([(body,)], "t string")
-    assert df.select(is_well_formed_xml(F.col("t")).alias("ok")).first().ok is good
-
-
 def test_references_both_ways(spark):
     refs = spark.createDataFrame([("j", "a"), ("j", "b"), ("j", "b")], "job string, path string")
     present = spark.createDataFrame([("j", "a"), ("j", "c"), ("j", "tests/x")], "job string, path string")

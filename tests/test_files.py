@@ -56,15 +56,14 @@ def read(spark, fmt, paths):
 
 
 @pytest.mark.parametrize("fmt", ["csv", "json", "fixed", "xml"])
-@pytest.mark.parametrize("per_file", [100, 1])
+@pytest.mark.parametrize("per_file", [None, 100, 1])
 def test_round_trip(spark, extract, folder, fmt, per_file):
     paths = deliver(fmt, extract, folder, rows_per_file=per_file)
     assert rows(read(spark, fmt, paths)) == rows(extract)
     names = sorted(os.path.basename(p) for p in paths)
-    if per_file == 100:
-        assert len(names) == 1 and names[0].startswith("s_20260210.")
-    else:
-        assert len(names) > 1 and names[0].startswith("s_20260210-00000.")
+    # The argument decides the names, whatever the number of files.
+    assert names[0].startswith("s_20260210-00000." if per_file else "s_20260210.")
+    assert (len(names) > 1) == (per_file == 1)
     left = [n for n in os.listdir(folder) if not n.endswith(".crc")]
     assert sorted(left) == names
 
@@ -117,6 +116,13 @@ def test_fixed_line_and_overflow(extract, folder):
         deliver("fixed", broken, folder)
 
 
+def test_csv_rejects_line_breaks(extract, folder):
+    broken = extract.withColumn("FAMILY_NAME", F.when(F.col("N") == 1, "a\nb").otherwise("c"))
+    with pytest.raises(sinks.LayoutError, match="FAMILY_NAME"):
+        deliver("csv", broken, folder)
+    assert not [n for n in os.listdir(folder) if n.endswith(".csv")]
+
+
 def test_default_checks(spark, extract, folder):
     header = "STUDENT_ID,FAMILY_NAME,COURSE_CODE,N"
     (path,) = deliver("csv", extract, folder)
@@ -124,7 +130,7 @@ def test_default_checks(spark, extract, folder):
     good = assertions.default_checks(spark, folder, [name], "csv", SCHEMA, header)
     assert [r.passed for r in good.collect()] == [True] * 4
     absent = assertions.default_checks(spark, folder, ["none.csv"], "csv", SCHEMA, header).collect()
-    assert [r.passed for r in absent] == [False]
+    assert [r.passed for r in absent] == [False, True, False, False]
     Path(folder, "bad.csv").write_text(header + " \nS1,a,b,notanumber\n")
     bad = assertions.default_checks(spark, folder, ["bad.csv"], "csv", SCHEMA, header)
     assert {r.assertion: r.passed for r in bad.collect()} == {

@@ -56,6 +56,15 @@ def test_replayed_batch_replaces_itself(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 1
 
 
+def test_another_checkpoint_keeps_what_is_loaded(spark, folder):
+    target = f"{folder}/t"
+    for n in (1, 2):
+        put(f"{folder}/box{n}", "student.csv", f"k,n\na,{n}\n")
+        stream = landing.landing_rows(spark, f"{folder}/box{n}", "student", SCHEMA)
+        landing.stream_upload(stream, target, f"{folder}/c{n}").awaitTermination()
+    assert rows(spark.read.parquet(target).select("k", "n")) == [("a", 1), ("a", 2)]
+
+
 def test_skip_identical(spark, folder):
     box, target, state, check = (f"{folder}/{n}" for n in ("box", "t", "s", "c"))
 
