@@ -12,7 +12,6 @@ from tablehandoff.functions import text
 from tablehandoff.functions.state import TEXT, flatten_refs, struct_of
 from tablehandoff.operators import contract
 from tablehandoff.operators.snapshots import unpivot_fields
-from tablehandoff.plans.decisions import quality_report
 from tablehandoff.scale import broadcast_if_bounded
 from tablehandoff.session import checkpoint_folder
 
@@ -68,9 +67,12 @@ _SOURCE_CATEGORY = {"sql": "sql", "specs": "specs", "samples": "samples", "mappi
 
 
 def parse_manifests(df: DataFrame, header: str = "header") -> DataFrame:
-    """(job, header, m): the parsed manifest struct; null for text that is not JSON."""
+    """(job, header, m, v): the parsed manifest struct, null for text that is not JSON, and
+    the manifest as it is written."""
     parsed = F.from_json(header, MANIFEST)
-    return df.withColumn("m", F.when(F.json_object_keys(header).isNotNull(), parsed))
+    return df.withColumns({
+        "m": F.when(F.json_object_keys(header).isNotNull(), parsed), "v": F.try_parse_json(header),
+    })
 
 
 def _m(path: str) -> Column:
@@ -79,7 +81,7 @@ def _m(path: str) -> Column:
 
 def _raw(path: str, kind: str = "variant") -> Column:
     """The value at a path as it is written, whatever its type; null if it is absent."""
-    return F.try_variant_get(F.try_parse_json("header"), f"$.{path}", kind)
+    return F.try_variant_get("v", f"$.{path}", kind)
 
 
 def _written_as(value: Column) -> Column:
@@ -211,22 +213,20 @@ def manifest_report(
     ``registry_error`` says why the registry could not be read: every readable job gets it as
     one error in place of the checks of its connections; the other findings stay.
     """
-    # One small row per job, parsed once for all the checks below.
+    # Parsed and judged once per job; all schema errors of a manifest are listed, and they
+    # stop its other checks.
     checkpoint_folder(manifests.sparkSession)
-    parsed = parse_manifests(manifests).checkpoint()
-    checked = contract.check_rules(
-        parsed.where(F.col("m").isNotNull()), ["job"], manifest_rules()
-    )
-    unreadable = parsed.where(F.col("m").isNull()).select(
-        "job",
+    unreadable = (
         F.when(F.col("text").isNull(), "manifest not found")
         .when(~text.has_front_matter(F.col("text")), "manifest has no front-matter block")
         .otherwise("front-matter is not a mapping")
-        .alias("message"),
     )
-    # All schema errors of a manifest are listed, and they stop its other checks.
-    invalid = contract.error_rows(checked, ["job"])
-    broken = unreadable.unionByName(invalid)
+    judged = contract.check_rules(parse_manifests(manifests), ["job", "text", "m"], manifest_rules())
+    errors = F.when(F.col("m").isNull(), F.array(unreadable)).otherwise(F.col("errors"))
+    judged = judged.select("job", "m", errors.alias("errors")).checkpoint()
+    broken = judged.select("job", F.explode("errors").alias("message"))
+    stopped = judged.where(F.size("errors") > 0).select("job")
+    parsed = judged.where(F.size("errors") == 0)
     refs = referenced_files(parsed).select("job", "path").distinct()
     absent = refs.join(files.select("job", "path").distinct(), ["job", "path"], "left_anti").select(
         "job",
@@ -235,12 +235,12 @@ def manifest_report(
         ),
     )
     in_lists = F.split("path", "/")[0].isin([*ROLES])
-    orphans = files.where(in_lists).join(refs, ["job", "path"], "left_anti").select(
+    orphans = files.where(in_lists).join(stopped, "job", "left_anti").join(refs, ["job", "path"], "left_anti").select(
         "job", F.format_string("job/%s exists but is not referenced", "path").alias("message")
     )
     if registry_error is not None:
         unread = parsed.select("job", F.lit(registry_error).alias("message"))
-        return quality_report("job", broken, [absent, unread], [orphans])
+        return _report([broken, absent, unread], orphans)
     used = used_connections(parsed)
     listed = ", ".join(f"'{k}'" for k in known)
     unknown = used.where(~F.col("name").isin(known)).select(
@@ -257,4 +257,12 @@ def manifest_report(
     unset = used.join(broadcast_if_bounded(unset)[0], "name").select(
         "job", F.concat(F.lit(head), "variable", F.lit(tail)).alias("message")
     )
-    return quality_report("job", broken, [absent, unknown, unset], [orphans])
+    return _report([broken, absent, unknown, unset], orphans)
+
+
+def _report(errors: Sequence[DataFrame], warnings: DataFrame) -> DataFrame:
+    columns = ["job", "severity", "message"]
+    out = warnings.withColumn("severity", F.lit("warning")).select(columns)
+    for part in errors:
+        out = out.unionByName(part.withColumn("severity", F.lit("error")).select(columns))
+    return out

@@ -149,6 +149,20 @@ def test_scan_equals_brute_force(spark, texts, values, chunk):
     assert sorted(tuple(r) for r in found.collect()) == want
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.text("ab ", max_size=40), min_size=1, max_size=8),
+    st.lists(st.tuples(st.integers(0, 7), st.integers(0, 30), st.integers(1, 20)), max_size=6),
+)
+def test_scan_of_many_words_equals_brute_force(spark, texts, cuts):
+    values = [texts[i % len(texts)][a : a + n] for i, a, n in cuts] + ["a b a b a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    table = spark.createDataFrame([(f"n{i}", v) for i, v in enumerate(values)], "name string, value string")
+    found = sensitive.sensitive_scan(docs, "id", "text", table, "name", "value")
+    want = sorted((i, f"n{j}") for i, t in enumerate(texts) for j, v in enumerate(values) if v and v in t)
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_scan_names_only(spark):
     docs = spark.createDataFrame([("f", "x test-password y"), ("g", None)], "path string, text string")
     values = spark.createDataFrame([("ORACLE_DEV_PASSWORD", "test-password"), ("EMPTY", "")], "name string, value string")
