@@ -1,10 +1,9 @@
-"""Licences of files: TF-IDF cosine of their lines to templates, then the nearest directory's.
+"""Licences of files: TF-IDF cosine to templates, then the nearest directory's.
 
-Term weights are measured over all files for the terms of the templates; any other term of a
-line counts with the weight of a term seen nowhere. Only lines that can reach the cosine are
-compared: if a line has none of a template's heavy terms, its cosine is at most the share of
-the other terms in the template's norm (Cauchy-Schwarz), so heavy terms are those without
-which the cosine stays below the limit.
+Compared is every line. Term weights are measured over all files. Only texts that can reach the cosine are compared: if
+one has none of a template's heavy terms, its cosine is at most the share of the other terms in
+the template's norm (Cauchy-Schwarz), so heavy terms are those without which the cosine stays
+below the limit.
 """
 
 from __future__ import annotations
@@ -48,15 +47,17 @@ def _terms(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def weigh(rows: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
-    """(weight of each term, weight of a term seen nowhere): ln((1 + files) / (1 + files with it)) + 1."""
-    known = F.array(*[F.lit(v) for v in vocabulary])
-    # The empty term stands for the file itself.
-    seen = F.array_append(F.array_intersect(terms(F.col("text")), known), F.lit(""))
-    counts = {r.term: r.n for r in rows.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+def frequencies(rows: DataFrame) -> DataFrame:
+    """``term`` and ``df``, the files it is in; the empty term stands for the file itself."""
+    seen = F.array_append(F.array_distinct(terms(F.col("text"))), F.lit(""))
+    return rows.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def weigh(seen: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], int]:
+    """(weight of each term, number of files): ln((1 + files) / (1 + files with it)) + 1."""
+    counts = {r.term: r.df for r in seen.where(F.col("term").isin(["", *vocabulary])).collect()}
     n = counts.get("", 0)
-    weight = lambda df: math.log((1 + n) / (1 + df)) + 1
-    return {v: weight(counts.get(v, 0)) for v in vocabulary}, weight(0)
+    return {v: math.log((1 + n) / (1 + counts.get(v, 0))) + 1 for v in vocabulary}, n
 
 
 def heavy_terms(vectors: list[dict[str, float]], least: float) -> list[str]:
@@ -73,29 +74,15 @@ def heavy_terms(vectors: list[dict[str, float]], least: float) -> list[str]:
     return sorted(heavy)
 
 
-def matched_lines(rows: DataFrame, templates: list[tuple[str, str]], least: float) -> DataFrame:
-    """``row``, ``licence``, ``score``: the best template of any line of a file that reaches ``least``."""
-    spark = rows.sparkSession
-    bags = [Counter(_terms(t)) for _, t in templates]
-    weights, most = weigh(rows, sorted(set().union(*bags)))
-    vectors = [{t: n * weights[t] for t, n in b.items()} for b in bags]
-    norms = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
-    heavy = "(?i)(?<![\\p{L}\\p{N}])(" + "|".join(re.escape(t) for t in heavy_terms(vectors, least)) + ")(?![\\p{L}\\p{N}])"
-    weight_table = spark.createDataFrame(list(weights.items()), "term string, weight double")
-    template_table = spark.createDataFrame(
-        [(t, templates[i][0], i, x / norms[i]) for i, v in enumerate(vectors) for t, x in v.items()],
-        "term string, licence string, template int, part double",
-    )
-    line = F.posexplode(F.split("text", "\n"))
-    lines = rows.where(F.col("text").rlike(heavy)).select("row", line.alias("line", "content")).where(F.col("content").rlike(heavy))
-    # The templates are a fixed list, so both tables are of fixed size.
+def line_scores(lines: DataFrame, seen: DataFrame, template_table: DataFrame, least: float) -> DataFrame:
+    """``row``, ``licence``, ``score`` of the lines that reach ``least`` with a template."""
+    # The templates are a fixed list, so their table is of fixed size.
     counted = (
         lines.select("row", "line", F.explode(terms(F.col("content"))).alias("term"))
         .groupBy("row", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-        .join(F.broadcast(weight_table), "term", "left")
-        .withColumn("x", F.col("tf") * F.coalesce("weight", F.lit(most)))
+        .join(seen, "term").withColumn("x", F.col("tf") * F.col("weight"))
     )
-    scored = (
+    return (
         counted.join(F.broadcast(template_table), "term", "left")
         .groupBy("row", "line", "term", "x").agg(F.collect_list(F.struct("template", "licence", "part")).alias("hits"))
         .groupBy("row", "line")
@@ -104,8 +91,28 @@ def matched_lines(rows: DataFrame, templates: list[tuple[str, str]], least: floa
         .select("row", "line", "square", F.explode("hits").alias("h")).where("h.template is not null")
         .groupBy("row", "line", "h.template", "h.licence", "square").agg(F.sum("h.dot").alias("dot"))
         .withColumn("score", F.least(F.lit(1.0), F.round(F.col("dot") / F.sqrt("square"), 9)))
-        .where(F.col("score") >= least)
+        .where(F.col("score") >= least).select("row", "licence", "score")
+    )
+
+
+def matched(rows: DataFrame, templates: list[tuple[str, str]], least: float) -> DataFrame:
+    """``row``, ``licence``, ``score``: the best template of any line of a file that reaches ``least``."""
+    spark = rows.sparkSession
+    bags = [Counter(_terms(t)) for _, t in templates]
+    vocabulary = sorted(set().union(*bags))
+    counted = stored(frequencies(rows), "frequencies")
+    weights, files = weigh(counted, vocabulary)
+    seen = counted.select("term", (F.log(F.lit(1.0 + files) / (1 + F.col("df"))) + 1).alias("weight"))
+    vectors = [{t: n * weights[t] for t, n in b.items()} for b in bags]
+    norms = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
+    heavy = "(?i)(?<![\\p{L}\\p{N}])(" + "|".join(re.escape(t) for t in heavy_terms(vectors, least)) + ")(?![\\p{L}\\p{N}])"
+    template_table = spark.createDataFrame(
+        [(t, templates[i][0], i, sum(bags[i].values()), x / norms[i]) for i, v in enumerate(vectors) for t, x in v.items()],
+        "term string, licence string, template int, size int, part double",
     )
+    able = rows.where(F.col("text").rlike(heavy))
+    lines = able.select("row", F.posexplode(F.split("text", "\n")).alias("line", "content")).where(F.col("content").rlike(heavy))
+    scored = line_scores(lines, seen, template_table, least)
     # Of equal scores the first licence by name.
     return scored.groupBy("row").agg(F.max("score").alias("score"), F.min(F.struct(-F.col("score"), "licence")).alias("best")).select(
         "row", F.col("best.licence").alias("licence"), "score"
@@ -133,7 +140,7 @@ def scan(
         "row", F.col("rest").getField(id).alias("doc_id"), F.col("rest").getField(path).cast("string").alias("path"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    own = stored(matched_lines(rows.select("row", "text"), TEMPLATES if templates is None else templates, least), "own-licences")
+    own = stored(matched(rows.select("row", "path", "text"), TEMPLATES if templates is None else templates, least), "own-licences")
     placed = rows.select("row", "doc_id", "path", _folder(F.col("path")).alias("folder"))
     declared = stored(
         placed.where(F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE)).join(own, "row")

@@ -124,6 +124,19 @@ def test_licences(spark, folder):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def test_weights_of_all_terms(spark, folder):
+    texts = ["Released under the MIT License by er and en, as it was"] + ["by er and en as it was the"] * 200
+    spark.createDataFrame([(i, f"{i}.txt", t) for i, t in enumerate(texts)], "doc_id long, path string, text string").write.parquet(folder + "/f")
+    found = {r.doc_id: r for r in licences.scan(spark.read.parquet(folder + "/f")).collect()}
+    own = Counter(licences._terms(texts[0]))
+    idf = {t: math.log((1 + 201) / (1 + (201 if t in licences._terms(texts[1]) else 1))) + 1 for t in own}
+    bag = Counter(licences._terms("Released under the MIT License."))
+    norm = lambda b: math.sqrt(sum((c * idf[t]) ** 2 for t, c in b.items()))
+    score = sum(own[t] * bag[t] * idf[t] ** 2 for t in own) / norm(own) / norm(bag)
+    assert found[0].own_licence == "MIT" and abs(found[0].own_score - score) < 1e-6 and score > 0.75
+    assert [found[i].own_licence for i in range(1, 201)] == [None] * 200
+
+
 # --- quality --------------------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
