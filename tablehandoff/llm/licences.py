@@ -1,6 +1,8 @@
 """Licences of files: TF-IDF cosine to templates, then the nearest directory's.
 
-Compared is every line. Term weights are measured over all files. Only texts that can reach the cosine are compared: if
+Compared are every line, and runs of as many terms as a template has: over the header of a file
+(its first comment block or paragraph) where that wraps, and over the whole of a licence file.
+Term weights are measured over all files. Only texts that can reach the cosine are compared: if
 one has none of a template's heavy terms, its cosine is at most the share of the other terms in
 the template's norm (Cauchy-Schwarz), so heavy terms are those without which the cosine stays
 below the limit.
@@ -36,6 +38,8 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
+# The first comment block, else the first paragraph.
+HEADER = r"(?s)\A\s*(/\*.*?\*/|<!--.*?-->|.*?(?=\n[ \t\r]*\n|\z))"
 
 
 def terms(text: Column) -> Column:
@@ -95,8 +99,45 @@ def line_scores(lines: DataFrame, seen: DataFrame, template_table: DataFrame, le
     )
 
 
+def run_scores(areas: DataFrame, seen: DataFrame, template_table: DataFrame, least: float) -> DataFrame:
+    """``row``, ``licence``, ``score`` of the best run of a template's number of terms in an area;
+    an area with fewer terms is one run."""
+    # A run cannot reach ``least`` if the terms of the whole area cannot.
+    held = (
+        areas.select("row", F.explode("hits").alias("term")).join(F.broadcast(template_table), "term")
+        .groupBy("row", "template", "licence", "size").agg(F.sum(F.col("part") * F.col("part")).alias("most"))
+        .where(F.col("most") >= least * least - 1e-9).drop("most")
+    )
+    held = held.groupBy("row").agg(F.collect_list(F.struct("template", "licence", "size")).alias("held"))
+    parts = template_table.select("template", "term", "part")
+    placed = (
+        areas.join(held, "row").select("row", "held", F.posexplode("terms").alias("at", "term"))
+        .join(seen, "term").select("row", "at", "term", "weight", F.explode("held").alias("h"))
+        .select("row", "at", "term", "weight", "h.*").join(F.broadcast(parts), ["template", "term"], "left")
+        .groupBy("row", "template", "licence", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "term", F.col("weight").alias("x"), (F.col("weight") * F.coalesce("part", F.lit(0.0))).alias("dot")))).alias("all"))
+    )
+
+    def total(start: Column, value) -> Column:
+        return F.aggregate(F.slice("all", start, F.col("size")), F.lit(0.0), lambda sum, e: sum + value(e))
+
+    def repeated(start: Column):
+        return lambda e: e["x"] * total(start, lambda f: F.when(f["term"] == e["term"], f["x"]).otherwise(0.0))
+
+    # Repeated terms only lengthen a run, so the sum of single squares bounds its cosine.
+    starts = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("all") - F.col("size") + 1, F.lit(1))),
+        lambda s: total(s, lambda e: e["dot"]) >= (least - 1e-9) * F.sqrt(total(s, lambda e: e["x"] * e["x"])),
+    )
+    score = F.array_max(F.transform(F.col("starts"), lambda s: total(s, lambda e: e["dot"]) / F.sqrt(total(s, repeated(s)))))
+    return (
+        placed.withColumn("starts", starts).where(F.size("starts") > 0)
+        .select("row", "licence", F.least(F.lit(1.0), F.round(score, 9)).alias("score")).where(F.col("score") >= least)
+    )
+
+
 def matched(rows: DataFrame, templates: list[tuple[str, str]], least: float) -> DataFrame:
-    """``row``, ``licence``, ``score``: the best template of any line of a file that reaches ``least``."""
+    """``row``, ``licence``, ``score``: the best template of any line or run of a file that reaches ``least``."""
     spark = rows.sparkSession
     bags = [Counter(_terms(t)) for _, t in templates]
     vocabulary = sorted(set().union(*bags))
@@ -112,7 +153,17 @@ def matched(rows: DataFrame, templates: list[tuple[str, str]], least: float) ->
     )
     able = rows.where(F.col("text").rlike(heavy))
     lines = able.select("row", F.posexplode(F.split("text", "\n")).alias("line", "content")).where(F.col("content").rlike(heavy))
-    scored = line_scores(lines, seen, template_table, least)
+    header = F.rtrim(F.regexp_extract("text", HEADER, 1))
+    declares = F.coalesce(F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE), F.lit(False))
+    wrapped = F.col("declares") | F.contains("area", F.lit("\n"))
+    known = F.array(*[F.lit(v) for v in vocabulary])
+    areas = stored(
+        able.select("row", declares.alias("declares"), F.when(declares, F.col("text")).otherwise(header).alias("area"))
+        .where(wrapped & F.col("area").rlike(heavy)).select("row", terms(F.col("area")).alias("terms"))
+        .withColumn("hits", F.array_intersect("terms", known)),
+        "areas",
+    )
+    scored = line_scores(lines, seen, template_table, least).unionByName(run_scores(areas, seen, template_table, least))
     # Of equal scores the first licence by name.
     return scored.groupBy("row").agg(F.max("score").alias("score"), F.min(F.struct(-F.col("score"), "licence")).alias("best")).select(
         "row", F.col("best.licence").alias("licence"), "score"
@@ -127,7 +178,7 @@ def scan(
     files: DataFrame, id: str = "doc_id", path: str = "path", text: str = "text",
     templates: list[tuple[str, str]] | None = None, least: float = LEAST,
 ) -> DataFrame:
-    """``doc_id``, ``path``, ``own_licence`` and ``own_score`` (of the file's best line, else null),
+    """``doc_id``, ``path``, ``own_licence`` and ``own_score`` (of the file's best line or run, else null),
     ``inherited_licence`` and ``inherited_from`` (of the nearest directory at or above the file
     whose licence file has a licence, else null), ``licence`` (own, else inherited).
 

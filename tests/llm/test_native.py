@@ -124,6 +124,43 @@ def test_licences(spark, folder):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+
+1. Redistributions of source code must retain the above copyright
+"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+"""
+
+
+def test_wrapped_licences(spark, folder):
+    words = [f"w{i}" for i in range(400)]
+    files = [
+        ("bsd/LICENSE", "Copyright (c) 2020\n\n" + BSD), ("bsd/x.c", "int x;"), ("gpl/a.c", "/*\n * a.c\n\n" + GPL + " */\nint x;\n"),
+        ("mit/COPYING", MIT), ("mit/y/z.c", None), ("one/LICENSE", MIT.replace("\n", " ")), ("p/a.py", "# a.py\n#\n# " + BSD.replace("\n", "\n# ")),
+        ("p/b.py", "import os\n\n" + "prose\n" * 3 + "use of source and binary software is free of charge to any person\n"),
+    ] + [(f"f/{i}.txt", " ".join(words[i : i + 90])) for i in range(300)]
+    spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string").write.parquet(folder + "/f")
+    got = licences.scan(spark.read.parquet(folder + "/f"))
+    no_python(got)
+    out = {r.path: r for r in got.collect()}
+    assert {p for p, r in out.items() if r.own_licence} == {"bsd/LICENSE", "gpl/a.c", "mit/COPYING", "one/LICENSE", "p/a.py"}
+    assert [out[p].licence for p in ("bsd/x.c", "gpl/a.c", "mit/y/z.c", "one/LICENSE", "p/a.py")] == ["BSD-3-Clause", "GPL-3.0", "MIT", "MIT", "BSD-3-Clause"]
+    assert out["bsd/LICENSE"].own_score == out["mit/COPYING"].own_score == out["p/a.py"].own_score == 1.0
+
+
 def test_weights_of_all_terms(spark, folder):
     texts = ["Released under the MIT License by er and en, as it was"] + ["by er and en as it was the"] * 200
     spark.createDataFrame([(i, f"{i}.txt", t) for i, t in enumerate(texts)], "doc_id long, path string, text string").write.parquet(folder + "/f")
