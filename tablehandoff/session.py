@@ -28,6 +28,19 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    return pin_splits(spark)
+
+
+def pin_splits(spark: SparkSession) -> SparkSession:
+    """Keep the splits of a table as they are when executors come or go.
+
+    Spark sizes them from the cores it has when it plans a job. Row numbers are places in the
+    splits, so the number first seen stays; a number the session has set is kept.
+    """
+    pinned = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(pinned, None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+        spark.conf.set(pinned, cores or str(spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -38,7 +51,7 @@ def build(app_name: str = "tablehandoff", master: str | None = None, **extra: st
     static = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     for key, value in {**RUNTIME_CONF, **static, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return pin_splits(builder.getOrCreate())
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
