@@ -96,10 +96,12 @@ class Index:
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[order], owners[order]
 
-    def need(self, size: int) -> int:
-        """Shared shingles without which two bags of windows of ``size`` words stay below ``least``."""
-        n = max(size - self.shingle + 1, 1)
-        return max(1, int(np.ceil(2 * self.least * n / (1 + self.least) - 1e-9)))
+    def need(self, size: int, n: np.ndarray | int) -> np.ndarray:
+        """Shared shingles without which ``n`` shingles, or as many as the item has if those are
+        fewer, and an item of ``size`` words stay below ``least``."""
+        whole = max(size - self.shingle + 1, 1)
+        both = np.clip(n, 0, whole) + whole
+        return np.maximum(1, np.ceil(self.least * both / (1 + self.least) - 1e-9).astype(np.int64))
 
     def hits(self, found: np.ndarray) -> np.ndarray:
         """Which shingles are in the benchmark."""
@@ -122,8 +124,7 @@ class Index:
             found = shingles(hashes, step)
             n = size - step + 1
             counts = np.concatenate([[0], np.cumsum(self.hits(found))])
-            full = int(self.sizes[p])
-            start = np.flatnonzero(counts[n:] - counts[:-n] >= min(self.need(full), n))
+            start = np.flatnonzero(counts[n:] - counts[:-n] >= self.need(int(self.sizes[p]), n))
             if not len(start):
                 continue
             if step not in sums_of:
@@ -148,7 +149,8 @@ class Index:
 
 
 def match_rows(index: Index):
-    lowest = min((index.need(int(s)) for s in index.sizes), default=0)
+    # Of all items the smallest needs least, whatever the size of a text.
+    smallest = int(index.sizes[0]) if len(index.sizes) else 0
     short = bool(len(index.sizes)) and int(index.sizes[0]) < index.shingle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +161,7 @@ def match_rows(index: Index):
                 counts = np.concatenate([[0], np.cumsum(index.hits(found))])
                 first = np.minimum(words.first, len(found))
                 # Shingles over the end of a text only make more of them worth a look.
-                enough = counts[first[1:]] - counts[first[:-1]] >= lowest
+                enough = counts[first[1:]] - counts[first[:-1]] >= index.need(smallest, words.counts - index.shingle + 1)
                 if short:
                     enough[:] = True
                 out = []

@@ -68,6 +68,25 @@ def test_against_all_windows(spark, folder):
     assert len(got) >= len(want) > 40
 
 
+@pytest.mark.parametrize("size", [59, 100])
+def test_texts_shorter_than_items(spark, folder, size):
+    rng = random.Random(size)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items = [(i, " ".join(words(size))) for i in range(12)]
+    docs = []
+    for n in range(150):
+        t = rng.choice(items)[1].split()
+        cut = rng.randrange(size // 4)
+        part = t[cut // 2 : size - cut + cut // 2]
+        for _ in range(n % 3):
+            part[rng.choice([0, 1, 2, -1, -2, -3, len(part) // 2])] = "new"
+        docs.append((n, " ".join(part)))
+    item = items[0][1].split()
+    docs += [(500, " ".join(["new", "new", *item[2 : size - 6]])), (501, " ".join(item[: size - size // 8])), (502, "w1 w2"), (503, " ".join(item))]
+    got, want = run(spark, docs, items, folder), brute(docs, items)
+    assert got == want and len({d for d, *_, n, _ in want if n < size}) > 60
+
+
 def test_blocks_give_the_same(spark, folder):
     docs, items = cases()
     assert run(spark, docs, items, folder) == run(spark, docs, items, folder, block_chars=200)
