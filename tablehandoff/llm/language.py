@@ -37,16 +37,21 @@ def letters(text: Column) -> Column:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language, the most frequent language first.
 
-    About SAMPLE_TEXTS texts of a language are drawn by a hash of the text, so that the same
-    texts are drawn however the rows are partitioned; equal texts count once; the first
-    SAMPLE_CHARS characters of each are used. Rows without text, letter or language teach
+    SAMPLE_TEXTS texts of a language, or all if it has fewer, are drawn by a hash of the text, so
+    that the same texts are drawn however the rows are partitioned; equal texts count once. Of
+    each the first SAMPLE_CHARS characters are used, fewer of the longest ones if all together
+    do not fit in DICTIONARY_BYTES. Rows without text, letter or language teach
     nothing. More than MAX_LANGUAGES languages are an error.
     """
     slim = labelled.select(col(lang).cast("string").alias("lang"), letters(col(text)).alias("sample")).where(
         F.col("lang").isNotNull() & F.col("sample").rlike(r"\p{L}")
     )
     keyed = slim.withColumn("key", F.xxhash64("sample"))
-    counts = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    copies = keyed.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        copies.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+        .limit(MAX_LANGUAGES + 1).collect()
+    )
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
@@ -54,7 +59,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
     # The part of all hashes that is drawn of each language.
     drawn = F.lit(False)
     for r in counts:
-        part = min(1.0, 2 * SAMPLE_TEXTS / r.n)
+        part = min(1.0, 2 * SAMPLE_TEXTS / r.texts)
         chance = F.col("key").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
         drawn = drawn | ((F.col("lang") == r.lang) & (chance <= part))
     samples = (
@@ -66,11 +71,23 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
         by_lang[r.lang].append((r.key & ((1 << 53) - 1), r.sample))
     out = {}
     for name, texts in by_lang.items():
-        joined = "\n".join(t for _, t in sorted(texts)[:SAMPLE_TEXTS]).encode()
-        out[name] = joined[:DICTIONARY_BYTES]
+        out[name] = b"\n".join(fitted([t.encode() for _, t in sorted(texts)[:SAMPLE_TEXTS]], DICTIONARY_BYTES))
     return out
 
 
+def fitted(texts: list[bytes], room: int) -> list[bytes]:
+    """The texts, the longest cut to one length so that all joined by a byte fit in ``room``."""
+    left, most = room - len(texts) + 1, 0
+    for i, size in enumerate(sorted(map(len, texts))):
+        most = left // (len(texts) - i)
+        if size > most:
+            break
+        left -= size
+    else:
+        return texts
+    return [t[:most].decode(errors="ignore").encode() for t in texts]
+
+
 def _compressors(dictionaries: dict[str, bytes]) -> list[tuple[str, zstandard.ZstdCompressor]]:
     out = []
     for name, content in dictionaries.items():

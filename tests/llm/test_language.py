@@ -40,6 +40,18 @@ def test_defined_results(spark, folder):
     assert "text" not in language.identify(df, made, keep_text=False).columns
 
 
+def test_copies_and_long_texts(spark):
+    letter = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [("der Hund und die Katze", "de")] * 3000 + [(f"ein Text {letter(i)}", "de") for i in range(40)]
+    rows += [(f"{letter(i)} " + "long été " * 600, "fr") for i in range(64)] + [(f"short {letter(i)}", "en") for i in range(3)]
+    made = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(made["de"].decode().split("\n")) == {t for t, n in ((t.lower(), n) for t, n in rows) if n == "de"}
+    assert len(made["en"].decode().split("\n")) == 3
+    starts = {t.split(" ")[0] for t in made["fr"].decode().split("\n")}
+    assert starts == {letter(i) for i in range(64)}
+    assert language.DICTIONARY_BYTES - 200 < len(made["fr"]) <= language.DICTIONARY_BYTES
+
+
 def test_nothing_learned_one_language_and_empty(spark):
     df = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     none = spark.createDataFrame([], "text string, lang string")
