@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tablehandoff import session
 from tablehandoff.llm import archive, language, licences, pieces, quality, urls
+from tablehandoff.llm.alignment import align
 from tablehandoff.llm.decontaminate import contaminated
 from tablehandoff.llm.neardup import near_duplicates
+from tablehandoff.llm.packing import pack
 from tablehandoff.llm.repeats import remove_repeats
 from tablehandoff.llm.sharding import assign
+from tablehandoff.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,8 +83,9 @@ def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-# A public vocabulary; the path is a parameter of the operator.
+# Public vocabularies; the paths are parameters of the operators.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 @query
@@ -144,3 +148,18 @@ m AS (
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_line_words >= {quality.LEAST_KEPT} * n_words AS kept
 FROM m"""
+
+
+@query
+def op11_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+@query
+def op13_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), BYTES)
