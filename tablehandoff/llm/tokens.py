@@ -19,8 +19,8 @@ import pyarrow as pa
 from tablehandoff.llm.words import BYTE_BASE, Prefix, buffers
 
 # Chunks and ids a worker keeps.
-KEPT_CHUNKS = 1_000_000
-KEPT_IDS = 8_000_000
+KEPT_CHUNKS = 600_000
+KEPT_IDS = 4_000_000
 BLANK = "▁"
 
 _WHITE = np.zeros(256, dtype=bool)
