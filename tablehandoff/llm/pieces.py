@@ -5,8 +5,8 @@ vocabulary (and the byte pieces of a character without a piece). A segmentation
 product of the weights of its pieces, a piece of rank r the weight (1 + r)^-ALPHA.
 
 Pieces do not cross the start of a word, so the lattice is a chain of word lattices. The
-weights to the end of a word are summed backwards once for each distinct word of a batch;
-forward from there, pieces are drawn with exact chances.
+weights to the end of a word are summed backwards once for each distinct word, and a worker keeps
+the lattices of words it has met, up to a bound; forward from there, pieces are drawn with exact chances.
 
 The ``k`` segmentations of a text are those with the largest Gumbel-perturbed log weights,
 found best first: the queue holds sets of segmentations that share words up to a place and
@@ -38,6 +38,8 @@ ALPHA = 1.0
 BLANK = 0x2581  # stands for a blank inside pieces
 SLICE_BYTES = 1 << 19
 SLOT_BITS = 20
+# Places of words whose lattices a worker keeps; beyond that it starts anew.
+KEPT_PLACES = 1 << 20
 _CODE_BASE = 0xC2B2AE3D27D4EB4F
 _STEP = 0x9E3779B97F4A7C15
 # Chances below this are rounding errors.
@@ -108,7 +110,7 @@ class Trie:
         self.lengths = np.array([len(x) for x in raw], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(raw), dtype=np.uint8)
-
+        self.lattices: Lattices | None = None  # of the words met so far
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
@@ -142,10 +144,45 @@ def _uniform(x: np.ndarray) -> np.ndarray:
 
 
 class Lattices:
-    """The lattices of distinct words: ``codes`` of all of them, word i from first[i] to first[i + 1]."""
-
-    def __init__(self, trie: Trie, codes: np.ndarray, first: np.ndarray):
-        n = len(codes)
+    """The lattices of distinct words; word i has the places first[i] to end[i]."""
+
+    def __init__(self, trie: Trie):
+        self.trie = trie
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.end, self.edge = (np.zeros(0, np.int64) for _ in range(3))
+        self.size, self.piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.log, self.upto = np.zeros(0), np.zeros(0)
+
+    def words(self, keys: np.ndarray, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The numbers of the words start..stop of ``codes``; words not met before are added.
+
+        ``keys`` are hashes of the words: equal ones are one word.
+        """
+        if len(self.edge) > KEPT_PLACES:
+            self.clear()
+        distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.keys):
+            new = self.keys[np.minimum(place, len(self.keys) - 1)] != distinct
+        if new.any():
+            lengths = (stop - start)[sample[new]]
+            first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+            taken = np.repeat(start[sample[new]] - first[:-1], lengths) + np.arange(first[-1])
+            every = np.concatenate([self.keys, distinct[new]])
+            numbers = np.concatenate([self.numbers, len(self.first) + np.arange(len(lengths))])
+            self._add(codes[taken], first)
+            order = np.argsort(every, kind="stable")
+            self.keys, self.numbers = every[order], numbers[order]
+            place = np.searchsorted(self.keys, distinct)
+        return self.numbers[place][which]
+
+    def _add(self, codes: np.ndarray, first: np.ndarray) -> None:
+        """The lattices of more words: ``codes`` of all of them, word i from first[i] to first[i + 1]."""
+        trie, n = self.trie, len(codes)
         end = np.repeat(first[1:], np.diff(first))
         at = np.arange(n)
         starts, sizes, pieces = [], [], []
@@ -184,15 +221,19 @@ class Lattices:
         log = value - total[start]
         chance = np.exp(log)
         order = np.argsort(start - 0.999 * chance)  # the likeliest edge of a place first
-        self.size, self.piece, self.log, chance = size[order], piece[order], log[order], chance[order]
+        size, piece, log, chance = size[order], piece[order], log[order], chance[order]
         sums = np.cumsum(chance)
         own = np.flatnonzero(np.diff(start[order], prepend=-1))
         before = np.repeat(sums[own] - chance[own], np.diff(np.append(own, len(sums))))
         # Chance up to and with each edge of its place; the last one takes what rounding leaves.
-        self.upto = sums - before
-        self.upto[np.append(own[1:], len(sums)) - 1 if len(own) else own] = 2.0
-        self.edge = own
-        self.first, self.end = first[:-1], first[1:]
+        upto = sums - before
+        upto[np.append(own[1:], len(sums)) - 1 if len(own) else own] = 2.0
+        places, edges = len(self.edge), len(self.size)
+        self.first = np.concatenate([self.first, first[:-1] + places])
+        self.end = np.concatenate([self.end, first[1:] + places])
+        self.edge = np.concatenate([self.edge, own + edges])
+        self.size, self.piece = np.concatenate([self.size, size]), np.concatenate([self.piece, piece])
+        self.log, self.upto = np.concatenate([self.log, log]), np.concatenate([self.upto, upto])
 
     def draw(self, word: np.ndarray, seed: np.ndarray):
         """A segmentation of each word: (pieces before each word, pieces in order, log chances)."""
@@ -305,7 +346,9 @@ def _search(draws, lattices: Lattices, words: np.ndarray, low: int, high: int, s
         u = _uniform(np.uint64((seed + (number + 1) * 7919) % (1 << 64)) + (open_at + begin).astype(np.uint64) * np.uint64(_STEP))
         values = _truncated(before[open_at] + np.log(rest[open_at]), u, value)
         # Only the best k - found + 1 of these sets can matter.
-        for i in np.argsort(-values)[: k - len(found) + 1].tolist():
+        wanted = min(k - len(found) + 1, len(values))
+        best = np.argpartition(-values, wanted - 1)[:wanted]
+        for i in best[np.argsort(-values[best])].tolist():
             place = int(open_at[i] + begin)
             same = parent is not None and place == begin
             if same:
@@ -355,11 +398,10 @@ def sample_texts(trie: Trie, texts: list[str], seeds: list[int], k: int):
     stop = np.append(start[1:], len(codes))
     word_of_text = np.searchsorted(start, bounds)
     hashes = Prefix(codes.astype(np.uint64) + np.uint64(1), _CODE_BASE).part(start, stop)
-    _, sample, word = np.unique(hashes, return_index=True, return_inverse=True)
-    lengths = (stop - start)[sample]
-    first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    taken = np.repeat(start[sample] - first[:-1], lengths) + np.arange(first[-1])
-    lattices = Lattices(trie, codes[taken], first)
+    if trie.lattices is None:
+        trie.lattices = Lattices(trie)
+    lattices = trie.lattices
+    word = lattices.words(hashes, codes, start, stop)
     seeds_of = np.array([s % (1 << 64) for s in seeds], dtype=np.uint64)
     text = np.repeat(np.arange(len(texts)), np.diff(word_of_text))
     place = (np.arange(len(start)) - word_of_text[text]).astype(np.uint64)

@@ -96,3 +96,21 @@ def test_all_segmentations_have_inclusion_one():
     found = list(pieces.sample_texts(pieces.Trie(TINY), ["a"], [3], 10))
     assert len(found) == 2 and all(x[4] == 0 for x in found)
     assert np.isclose(sum(math.exp(x[2]) for x in found), 1)
+
+
+def test_kept_lattices_change_nothing(monkeypatch):
+    texts = ["aba ab", "a  ba", "ab", "aba ab aba", "", "ba\nab", "abab" * 9]
+
+    def samples(trie, order):
+        found = {}
+        for i in order:
+            found[i] = [(r, round(p, 12), ids.tolist()) for _, r, p, _, _, ids in pieces.sample_texts(trie, [texts[i]], [i], 3)]
+        return found
+
+    fresh = {}
+    for i in range(len(texts)):
+        fresh |= samples(pieces.Trie(TINY), [i])
+    assert samples(pieces.Trie(TINY), range(len(texts))) == fresh
+    assert samples(pieces.Trie(TINY), reversed(range(len(texts)))) == fresh
+    monkeypatch.setattr(pieces, "KEPT_PLACES", 4)
+    assert samples(pieces.Trie(TINY), [3, 1, 3, 0, 2, 4, 6, 5]) == fresh
