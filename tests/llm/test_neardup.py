@@ -118,3 +118,39 @@ def test_components(spark):
     got = components(spark.createDataFrame(shuffled, "a long, b long"))
     assert sorted((r.a, r.b) for r in got.collect()) == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_agreeing_slots_estimate_similarity_and_rule_out_few():
+    assert 145 <= neardup.fewest_agreeing(0.8) <= 155
+    rng = np.random.default_rng(5)
+    ruled_out = 0
+    for _ in range(300):
+        # 0.8: of 900 shingles in all 720 are in both.
+        both = rng.integers(0, 1 << 62, 720, dtype=np.int64).astype(np.uint64)
+        own = [rng.integers(0, 1 << 62, 90, dtype=np.int64).astype(np.uint64) for _ in range(2)]
+        text = np.repeat([0, 1], 810)
+        best = neardup.signatures(text, np.concatenate([both, own[0], both, own[1]]), 2)
+        marks = neardup.slot_marks(best)
+        ruled_out += int((marks[0] == marks[1]).sum()) < neardup.fewest_agreeing(0.8)
+    assert ruled_out == 0
+
+
+@pytest.mark.parametrize("n", [100, 200])
+def test_texts_that_share_paragraphs_leave_few_pairs(spark, folder, monkeypatch, n):
+    """12 of 20 shared paragraphs: all texts are alike to about 0.4, hardly any reach 0.8."""
+    rng = random.Random(9)
+    paragraphs = [" ".join(f"p{k}w{rng.randrange(300)}" for _ in range(60)) for k in range(20)]
+    texts = [" ".join(paragraphs[k] for k in rng.sample(range(20), 12)) for _ in range(n)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(folder + "/d")
+    compared = []
+    real = neardup._verified
+
+    def counted(pairs, held, least):
+        compared.append(pairs.count())
+        return real(pairs, held, least)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    got = neardup.near_duplicates(spark.read.parquet(folder + "/d")).collect()
+    want = brute(texts)
+    assert sorted((r.doc_id, r.class_id) for r in got) == list(enumerate(want))
+    assert sum(compared) <= 3 * n  # of n * (n - 1) / 2
