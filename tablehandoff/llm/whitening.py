@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -161,12 +162,14 @@ def whiten(
     if not n:
         return empty
     sums = sums_of(rows, dimension)
-    blocks = centred_blocks(rows, n, sums, block_rows)
+    # Used by three products; what a lost executor held of it is built again.
+    blocks = centred_blocks(rows, n, sums, block_rows).persist(StorageLevel.MEMORY_AND_DISK)
     splits = -(-n // block_rows)
     scatter = multiplied(blocks.transpose(), blocks, splits).toLocalMatrix().toArray()
     matrix, values, trace = whitening_matrix(scatter, n, components)
     k = len(values)
     if not k:
+        blocks._java_matrix_wrapper.call("blocks").unpersist(False)
         return empty
     small = Matrices.dense(dimension, k, matrix.ravel(order="F").tolist())
     whitener = BlockMatrix(df.sparkSession.sparkContext.parallelize([((0, 0), small)], 1), dimension, k, dimension, k)
@@ -175,6 +178,7 @@ def whiten(
     white = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model)
     white = MLUtils.convertVectorColumnsToML(white, "vector").select("index", vector_to_array("vector").alias("z"))
     white = stored(white, "whitened")
+    blocks._java_matrix_wrapper.call("blocks").unpersist(False)
     error = identity_error(white, k)
     exact = F.lit(0).cast("decimal(38,0)")
     parts = F.zip_with("x", F.array(*[F.lit(s) for s in sums]), lambda x, s: (F.lit(n) * x - s).cast("decimal(19,0)"))
