@@ -141,6 +141,13 @@ def file_kind(path: Column) -> Column:
     return F.element_at(kinds, suffix(path))
 
 
+def file_kind_problem(path: Column) -> Column:
+    """What is wrong with the kind of a file; null if it can be read."""
+    name = F.element_at(F.split(path, "/"), -1)
+    message = F.format_string(f"%s: files of type '%s' cannot be read, only {', '.join(sorted(FILE_KINDS))}", name, suffix(path))
+    return F.when(file_kind(path).isNull(), message)
+
+
 def lines(c: Column) -> Column:
     # Splitting on a single character needs no regular expression; the unusual separators
     # are searched first because replacing them costs far more than finding none.
@@ -157,6 +164,7 @@ def lines(c: Column) -> Column:
     )
 
 
+# Fixed value: the wording of the note.
 def truncation_note(total: Column, n: int) -> Column:
     return F.concat(
         F.lit(f"[truncated: showing first {n} of "), total.cast("string"), F.lit(" rows]")

@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehandoff.scale import anti_join, bounded
+from tablehandoff.scale import anti_join
 
-# Names a registry may hold; it is configuration and appears whole in messages.
-REGISTRY_NAMES = 10_000
-
-
-class RegistryError(ValueError):
-    """The registry is missing or not a small table of names."""
+# Names of a registry that a message lists.
+REGISTRY_NAMES = 1_000
 
 
 def missing_refs(refs: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,21 +27,21 @@ def unreferenced(
     return anti_join(present, refs, keys)
 
 
-def known_names(df: DataFrame, name: str) -> list[str]:
-    """Sorted distinct names of a registry."""
-    rows = bounded(df.select(name).where(F.col(name).isNotNull()).distinct(), REGISTRY_NAMES)
-    if rows is None:
-        raise RegistryError(f"the registry has more than {REGISTRY_NAMES} names")
-    return sorted(r[0] for r in rows)
+def known_names(df: DataFrame, name: str) -> str:
+    """The sorted names of a registry as text, for messages: the first ``REGISTRY_NAMES`` of
+    them, and how many there are in all if that is not all."""
+    names = df.select(F.col(name).alias("name")).where(F.col(name).isNotNull()).distinct()
+    first = [r.name for r in names.orderBy("name").limit(REGISTRY_NAMES + 1).collect()]
+    listed = ", ".join(f"'{n}'" for n in first[:REGISTRY_NAMES])
+    return f"[{listed}]" if len(first) <= REGISTRY_NAMES else f"[{listed}, ... {names.count()} names in all]"
 
 
-def unknown_keys(used: DataFrame, name: str, known: Sequence[str]) -> DataFrame:
-    """Used rows whose name is not registered, with the sorted known names in ``known``."""
-    listed = ", ".join(f"'{k}'" for k in known)
-    names = F.array(*[F.lit(k) for k in known]).cast("array<string>")
-    return used.where(~F.array_contains(names, F.col(name))).withColumn(
-        "known", F.lit(f"[{listed}]")
-    )
+def unknown_keys(used: DataFrame, name: str, registry: DataFrame, key: str = "name") -> DataFrame:
+    """Used rows whose name is not in the registry, a table of any size, with the known names
+    in ``known``. A null name is no use of a name."""
+    listed = F.lit(known_names(registry, key))
+    known = registry.select(F.col(key).alias(name))
+    return anti_join(used.where(F.col(name).isNotNull()), known, [name]).withColumn("known", listed)
 
 
 def unset_required(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablehandoff.functions import dates, text
 from tablehandoff.scale import bounded, with_position
+from tablehandoff.selection import rows_between
 
 
 def export(
@@ -101,13 +102,10 @@ def paginate(
 
 
 def page(df: DataFrame, order_by: Sequence[str], number: int, page_size: int) -> DataFrame:
-    """One page of the total order, by position: no task sees more than its partition."""
+    """One page of the total order, by position: only the ranges that hold it are sorted."""
     if number < 1 or page_size < 1:
         raise ValueError("page and page size start at 1")
-    end = number * page_size
-    placed = with_position(df, order_by, "_position")
-    inside = (F.col("_position") >= end - page_size) & (F.col("_position") < end)
-    return placed.where(inside).drop("_position")
+    return rows_between(df, order_by, (number - 1) * page_size, number * page_size)
 
 
 class UnknownNames(ValueError):

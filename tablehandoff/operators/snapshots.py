@@ -48,8 +48,11 @@ DIRECTORY_CATEGORY = {
 CATEGORY_RANK = ["sql", "specs", "samples", "destination"]
 UNKNOWN_CATEGORY = "specs"  # unknown change: everything is affected
 
-EXACT, SUM = "exact", "sum"
+EXACT, SUM, TREE = "exact", "sum", "tree"
 PIECE = 6  # hex digits of a row digest that are added up together
+# Hex digits that the rows below a leaf, and the leaves below a branch, have in common: up to
+# 4096 leaves in a branch, and 4096 branches in a group.
+LEAF_DIGITS, BRANCH_DIGITS = 6, 3
 
 
 def _literal_map(pairs: Mapping[str, str]) -> Column:
@@ -86,6 +89,29 @@ def _sum_digest() -> Column:
     return F.concat(F.lit(HASH_PREFIX), F.sha2(joined, 256))
 
 
+def _tree_node(rows: DataFrame, groups: Sequence[str], digits: int, entry: Column) -> DataFrame:
+    """One row for each common start of ``_row``: the digest of the sorted entries below it."""
+    fed = F.array_join(F.array_sort(F.collect_list(entry)), "")
+    start = F.left("_row", F.lit(digits)).alias("_row")
+    return rows.groupBy(*groups, start).agg(F.sum("n").alias("n"), F.sha2(fed, 256).alias("_digest"))
+
+
+def _tree(df: DataFrame, groups: Sequence[str], key: Column, value: Column) -> DataFrame:
+    """Digests of the rows, of the leaves, of the branches, of the group.
+
+    The place of a row in the tree follows from its digest alone, so neither order nor
+    partitions matter. Copies of a row are counted before they meet, and a leaf holds a
+    16-millionth of the distinct rows of its group, so a hot group uses every task.
+    """
+    cells = [F.concat(F.coalesce(c, F.lit("\1")), F.lit("\0")) for c in (key, value)]
+    counted = df.groupBy(*groups, F.sha2(F.concat(*cells), 256).alias("_row")).agg(F.count(F.lit(1)).alias("n"))
+    copies = F.concat("_row", F.lit(":"), F.col("n").cast("string"), F.lit(";"))
+    below = F.concat("_row", F.lit(":"), "_digest", F.lit(";"))
+    leaves = _tree_node(counted, groups, LEAF_DIGITS, copies)
+    branches = _tree_node(leaves, groups, BRANCH_DIGITS, below)
+    return _tree_node(branches, groups, 0, below)
+
+
 def fingerprint(
     df: DataFrame,
     groups: Sequence[str],
@@ -96,9 +122,10 @@ def fingerprint(
     """(groups, n, form, fingerprint): a digest per group that ignores row order.
 
     ``EXACT`` is the digest of the sorted rows of a group, which must fit a task: the files
-    of a job. ``SUM`` is the digest of the row count and of the added row digests; it
-    combines on the map side and suits groups of any size. The caller picks the form, so
-    digests stored for a group stay comparable however it grows.
+    of a job. ``TREE`` is a digest of digests: as hard to forge, and for groups of any size.
+    ``SUM`` is the digest of the row count and of the added row digests; it combines on the
+    map side. The caller picks the form, so digests stored for a group stay comparable however
+    it grows. In a tree a null key or value is one of its own, not an empty one.
     """
     k, v = F.col(key).cast("string"), F.col(value)
     if form == EXACT:
@@ -107,8 +134,11 @@ def fingerprint(
             F.lit(EXACT).alias("form"),
             _exact_digest(k, v).alias("fingerprint"),
         )
+    if form == TREE:
+        root = F.concat(F.lit(HASH_PREFIX), F.col("_digest")).alias("fingerprint")
+        return _tree(df, groups, k, v).select(*groups, "n", F.lit(TREE).alias("form"), root)
     if form != SUM:
-        raise ValueError(f"form is {EXACT!r} or {SUM!r}, not {form!r}")
+        raise ValueError(f"form is {EXACT!r}, {TREE!r} or {SUM!r}, not {form!r}")
     sums = _with_digest(df, k, v).groupBy(*groups).agg(*_sum_limbs())
     return sums.select(*groups, "n", F.lit(SUM).alias("form"), _sum_digest().alias("fingerprint"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablehandoff.functions import text
 from tablehandoff.functions.state import TEXT, flatten_refs, struct_of
-from tablehandoff.operators import contract
+from tablehandoff.operators import contract, references
 from tablehandoff.operators.snapshots import unpivot_fields
 from tablehandoff.scale import broadcast_if_bounded
 from tablehandoff.session import checkpoint_folder
@@ -201,14 +201,13 @@ def manifest_report(
     files: DataFrame,
     connections: DataFrame,
     set_names: DataFrame,
-    known: list[str],
     registry_error: str | None = None,
 ) -> DataFrame:
     """(job, severity, message) over all jobs.
 
     manifests(job, text, header): text is null when the manifest is missing, header the
     JSON of its front matter · files(job, path) below the job · connections(name, secrets
-    map role -> variable) · set_names(name) · known: names in the registry.
+    map role -> variable), the registry · set_names(name).
 
     ``registry_error`` says why the registry could not be read: every readable job gets it as
     one error in place of the checks of its connections; the other findings stay.
@@ -242,12 +241,8 @@ def manifest_report(
         unread = parsed.select("job", F.lit(registry_error).alias("message"))
         return _report([broken, absent, unread], orphans)
     used = used_connections(parsed)
-    listed = ", ".join(f"'{k}'" for k in known)
-    unknown = used.where(~F.col("name").isin(known)).select(
-        "job",
-        F.concat(F.lit("connection '"), "name",
-                 F.lit(f"' is not defined in the registry (known: [{listed}])")).alias("message"),
-    )
+    message = F.concat(F.lit("connection '"), "name", F.lit("' is not defined in the registry (known: "), "known", F.lit(")"))
+    unknown = references.unknown_keys(used, "name", connections).select("job", message.alias("message"))
     head, tail = UNSET.split("{name}")
     declared = connections.select("name", F.explode(F.map_values("secrets")).alias("variable"))
     unset = declared.join(

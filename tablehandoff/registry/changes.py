@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablehandoff import session
 from tablehandoff.functions import text
 from tablehandoff.operators import assertions, snapshots
 from tablehandoff.plans import decisions
+from tablehandoff.sinks import snapshots as stored
 from tablehandoff.registry.base import (
     SNAPSHOTS,
     SQL_DIR,
@@ -82,6 +84,39 @@ def fields_changed(t: Tables) -> DataFrame:
     return snapshots.fields_changed(old, new, ["doc_id"])
 
 
+def stored_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots of the documents as bucketed tables."""
+    folder = session.work_folder(t.spark, "snapshots")
+    name = folder.rsplit("-", 1)[-1]
+    fields = {n: F.col(n) for n in ("hash", "source", "lang")}
+    sides = (("prev", previous_documents(t)), ("cur", current_documents(t)))
+    old, new = (
+        stored.write_snapshot(df, f"{side}_{name}", f"{folder}/{side}", ["doc_id"], fields) for side, df in sides
+    )
+    return old, new
+
+
+@query(f"""WITH {SNAPSHOTS} SELECT coalesce(cur.doc_id, prev.doc_id) AS doc_id,
+  CASE WHEN prev.doc_id IS NULL THEN 'added' WHEN cur.doc_id IS NULL THEN 'removed' ELSE 'modified' END AS change
+FROM cur FULL JOIN prev ON cur.doc_id = prev.doc_id
+WHERE cur.h IS DISTINCT FROM prev.h OR cur.source IS DISTINCT FROM prev.source OR cur.lang IS DISTINCT FROM prev.lang""")
+def stored_snapshot_diff(t: Tables) -> DataFrame:
+    """The same difference between two stored snapshots, over all their fields."""
+    return stored.compare_snapshots(*stored_documents(t), ["doc_id"])
+
+
+@query(f"""WITH {SNAPSHOTS}, f AS (
+  SELECT doc_id, unnest(['hash', 'source', 'lang']) AS field, unnest([h, source, lang]) AS v, true AS new FROM cur
+  UNION ALL SELECT doc_id, unnest(['hash', 'source', 'lang']), unnest([h, source, lang]), false FROM prev),
+b AS (SELECT doc_id, field, max(v) FILTER (NOT new) AS o, max(v) FILTER (new) AS n FROM f GROUP BY ALL)
+SELECT doc_id, field, CASE WHEN o IS NULL THEN '{{}}' ELSE '{{"v":' || to_json(o) || '}}' END AS old_value,
+  CASE WHEN n IS NULL THEN '{{}}' ELSE '{{"v":' || to_json(n) || '}}' END AS new_value
+FROM b WHERE o IS DISTINCT FROM n""")
+def stored_fields_changed(t: Tables) -> DataFrame:
+    """Fields that differ between two stored snapshots, with both values."""
+    return stored.compare_fields(*stored_documents(t), ["doc_id"])
+
+
 @query(f"WITH {CHANGES} SELECT job, items FROM routed")
 def impact_route(t: Tables) -> DataFrame:
     return routed(t).withColumn("items", F.concat_ws(",", "items"))
@@ -219,6 +254,20 @@ def fingerprint_sum(t: Tables) -> DataFrame:
     return snapshots.fingerprint(hashed, ["source"], "doc_id", "h", snapshots.SUM)
 
 
+@query("""WITH d AS (SELECT source, sha256(doc_id::VARCHAR || chr(0) || sha256(text) || chr(0)) AS h, count(*) AS n
+  FROM documents GROUP BY ALL),
+leaf AS (SELECT source, h[1:6] AS p, sum(n) AS n, sha256(string_agg(h || ':' || n || ';', '' ORDER BY h)) AS x
+  FROM d GROUP BY ALL),
+branch AS (SELECT source, p[1:3] AS p, sum(n) AS n, sha256(string_agg(p || ':' || x || ';', '' ORDER BY p)) AS x
+  FROM leaf GROUP BY ALL)
+SELECT source, sum(n)::BIGINT AS n, 'tree' AS form,
+  'sha256:' || sha256(string_agg(p || ':' || x || ';', '' ORDER BY p)) AS fingerprint FROM branch GROUP BY source""")
+def fingerprint_tree(t: Tables) -> DataFrame:
+    """The exact form for groups of any size: a digest of digests."""
+    hashed = t.documents.select("source", "doc_id", F.sha2("text", 256).alias("h"))
+    return snapshots.fingerprint(hashed, ["source"], "doc_id", "h", snapshots.TREE)
+
+
 @query("SELECT doc_id, 'sha256:' || sha256(text) AS hash FROM documents")
 def content_hash(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.content_hash(F.col("text")).alias("hash"))

@@ -152,9 +152,8 @@ def history_counts(t: Tables) -> DataFrame:
 FROM orders WHERE o_orderstatus NOT IN (SELECT DISTINCT l_linestatus FROM lineitem)""")
 def unknown_keys(t: Tables) -> DataFrame:
     """Order statuses that are no line status; the line statuses are the registry."""
-    known = references.known_names(t.lineitem, "l_linestatus")
     used = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("name"))
-    return references.unknown_keys(used, "name", known)
+    return references.unknown_keys(used, "name", t.lineitem, "l_linestatus")
 
 
 @query(f"""WITH {BIG}, set_names AS (
@@ -295,5 +294,4 @@ def manifest_report(t: Tables) -> DataFrame:
         "name string, secrets map<string,string>",
     )
     set_names = t.spark.createDataFrame([("ORACLE_DEV_USER",)], "name string")
-    known = references.known_names(registry, "name")
-    return manifests.manifest_report(given, files, registry, set_names, known)
+    return manifests.manifest_report(given, files, registry, set_names)

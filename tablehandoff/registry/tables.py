@@ -15,7 +15,7 @@ from tablehandoff.registry.base import STG, Tables, query, staged
 from tablehandoff.registry.delivery import COLUMNS, DATES, EXPORT_SQL, RUN_DATE
 from tablehandoff.registry.versions import NEWEST
 from tablehandoff.sinks import files as file_sinks
-from tablehandoff.sinks import tables
+from tablehandoff.sinks import tables, versions
 from tablehandoff.sources import files
 from tablehandoff.sources.files import FixedColumn
 from tablehandoff.streaming import landing
@@ -204,6 +204,32 @@ def write_if_changed(t: Tables) -> DataFrame:
     written = []
     for step, df in steps.items():
         digest = snapshots.table_fingerprint(df)
-        done = tables.materialize_if_changed(df, digest, f"{folder}/t", f"{folder}/s", "orders")
+        done = tables.materialize_if_changed(df, digest, f"{folder}/t")
         written.append((step, done))
     return t.spark.createDataFrame(written, "step string, written boolean")
+
+
+@query(EXPORT_SQL)
+def versioned_table(t: Tables) -> DataFrame:
+    """The current rows of a table whose second version reads the first, and whose third was
+    written but never published."""
+    folder = session.work_folder(t.spark, "versions") + "/t"
+    whole = extract(t)
+    late = whole.where(F.col("o_orderdate") >= "1995-06-01")
+    versions.replace(late, folder)
+    early = whole.where(F.col("o_orderdate") < "1995-06-01")
+    versions.replace(versions.read_current(t.spark, folder).unionByName(early), folder, "second")
+    versions.write_version(late, folder)
+    return versions.read_current(t.spark, folder)
+
+
+@query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS v FROM events) WHERE v = 1""")
+def upsert_parts(t: Tables) -> DataFrame:
+    """The same state in parts of its partitions, updated by thirds of the month."""
+    path = session.work_folder(t.spark, "parts")
+    events = t.events.select("user_id", "event_type", "ts", "event_id", "value")
+    days = F.day("ts")
+    for part in (events.where(days > 20), events.where(days <= 10), events.where((days > 10) & (days <= 20))):
+        tables.write_upsert(path, part, ["event_type", "user_id"], NEWEST, "event_type", parts=8)
+    return tables.read_upsert(t.spark, path).drop("ts")

@@ -9,6 +9,7 @@ from tablehandoff.functions import text
 from tablehandoff.operators import contract, rows, sections, sensitive
 from tablehandoff.registry.base import SQL_JOB, Tables, job_name, query, sql_strip
 from tablehandoff.sinks import report
+from tablehandoff.sources import files
 
 LINE_BREAK = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 LINES = f"""l AS (SELECT doc_id, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS p
@@ -223,3 +224,39 @@ def report_lines(t: Tables) -> DataFrame:
     last = docs.groupBy("job").agg(F.max("doc_id").alias("doc_id"))
     output = docs.join(last, ["job", "doc_id"], "left_semi").select("job", "text")
     return report.report_lines(jobs, items, warnings, output)
+
+
+@query("""WITH w AS (SELECT source AS job, doc_id AS seq, '- ⚠ doc ' || doc_id || ': content is ' || length(text)
+    || ' chars, over the 8000-char cap' AS line FROM documents WHERE length(text) > 8000)
+SELECT job, 1 AS section, seq, line FROM w
+UNION ALL SELECT DISTINCT job, 0, i, if(i = 0, '# Validation warnings', '') FROM w, range(0, 2) r(i)""")
+def warning_report(t: Tables) -> DataFrame:
+    """The long documents of each source as its report of warnings."""
+    problem = contract.cap_problem(F.concat(F.lit("doc "), F.col("doc_id").cast("string")), F.col("text"))
+    warnings = t.documents.select(F.col("source").alias("job"), F.col("doc_id").alias("seq"), problem.alias("message"))
+    return report.warning_report(warnings.where(F.col("message").isNotNull()))
+
+
+KINDS = ", ".join(sorted(text.FILE_KINDS))
+KINDS_SQL = ", ".join(f"'{k}'" for k in text.FILE_KINDS)
+
+
+@query(rf"""WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '[^/](\.[^./]+)$', 1)) AS s FROM pages)
+SELECT page_id, str_split(url, '/')[-1] || ': files of type ''' || s || ''' cannot be read, only {KINDS}' AS message
+FROM p WHERE s NOT IN ({KINDS_SQL})""")
+def unsupported_files(t: Tables) -> DataFrame:
+    """Pages whose name has no kind that can be read."""
+    problem = text.file_kind_problem(F.col("url")).alias("message")
+    return t.pages.select("page_id", problem).where(F.col("message").isNotNull())
+
+
+@query("""WITH n AS (SELECT source || '_' || lang || '_' || doc_id || '.csv' AS name FROM documents),
+w AS (SELECT DISTINCT source || '_' AS prefix FROM documents UNION SELECT source || '_' || lang || '_1' FROM documents
+  UNION SELECT DISTINCT source || '_xx_' FROM documents)
+SELECT prefix, min(name) AS name FROM w LEFT JOIN n ON starts_with(name, prefix) GROUP BY prefix""")
+def landing_lookup(t: Tables) -> DataFrame:
+    """The first file for each of many prefixes; some prefixes have none."""
+    source, lang = F.col("source"), F.col("lang")
+    names = t.documents.select(F.concat(source, F.lit("_"), lang, F.lit("_"), F.col("doc_id").cast("string"), F.lit(".csv")).alias("name"))
+    prefixes = F.array(F.concat(source, F.lit("_")), F.concat(source, F.lit("_"), lang, F.lit("_1")), F.concat(source, F.lit("_xx_")))
+    return files.first_matches(names, t.documents.select(F.explode(prefixes).alias("prefix")))

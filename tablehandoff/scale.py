@@ -23,8 +23,6 @@ from tablehandoff.session import checkpoint_folder
 
 # Rows one group may bring into one task as a list or a window.
 GROUP_LIMIT = 100_000
-# Rows one join key may bring into one task.
-JOIN_LIMIT = 1_000_000
 # Rows a table may have to be collected and broadcast.
 BROADCAST_ROWS = 10_000
 
@@ -95,28 +93,14 @@ def split_heavy(df: DataFrame, keys: Sequence[str], heavy: Heavy) -> tuple[DataF
     return df.join(heavy.keys, cond, "left_anti"), df.join(heavy.keys, cond, "left_semi")
 
 
-def anti_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int = JOIN_LIMIT
-) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``right``; both sides may have hot keys.
+def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``; a null key is in no table.
 
-    A bounded set of keys is broadcast. Otherwise the distinct keys are joined by shuffle,
-    and rows of hot left keys stay where they are: for those the few matching keys are
-    broadcast. (Skew handling does not split a join against an aggregate.)
+    Both sides are read once. The optimizer broadcasts a right side that is small by its
+    measured size; otherwise skew handling splits a hot key of the left side, and of a hot key
+    of the right side the first row decides.
     """
-    known, small = broadcast_if_bounded(right.select(*keys).distinct())
-    if small:
-        return left.join(known, list(keys), "left_anti")
-    heavy = heavy_groups(left, keys, limit)
-    if heavy is None:
-        return left.join(known, list(keys), "left_anti")
-    light, hot = split_heavy(left, keys, heavy)
-    matching = split_heavy(right.select(*keys), keys, heavy)[1].distinct()
-    if heavy.small:
-        matching = F.broadcast(matching)
-    return light.join(known, list(keys), "left_anti").unionByName(
-        hot.join(matching, list(keys), "left_anti")
-    )
+    return left.join(right.select(*keys), list(keys), "left_anti")
 
 
 def ordered_runs(

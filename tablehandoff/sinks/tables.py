@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tablehandoff.operators.history import latest_per_key
 from tablehandoff.scale import bounded
 from tablehandoff.session import checkpoint_folder
 from tablehandoff import storage
+from tablehandoff.sinks import versions
 
 
 def staging_name(job_name: str) -> str:
@@ -20,25 +23,15 @@ def staging_name(job_name: str) -> str:
 def refresh_staging(df: DataFrame, job_name: str, folder: str) -> DataFrame:
     """Full refresh of the job's staging table below ``folder``; returns the new content.
 
-    The rows are written beside the old table and swapped in by renames, so the load may
-    read the table it refreshes, a missing table is no special case, and a failed load
-    leaves the old rows in place. The schema is that of the load query.
+    The rows become a new version of the table, current from one rename on: the load may read
+    the table it refreshes, a missing table is no special case, and a load that stops anywhere
+    leaves the old rows or the new ones, whole. The schema is that of the load query.
     """
-    spark = df.sparkSession
-    table = f"{folder.rstrip('/')}/{staging_name(job_name)}"
-    incoming, outgoing = f"{table}.{uuid.uuid4().hex}", f"{table}.{uuid.uuid4().hex}"
-    df.write.parquet(incoming)
-    replaced = storage.exists(spark, table)
-    if replaced:
-        storage.move(spark, table, outgoing)
-    storage.move(spark, incoming, table)
-    if replaced:
-        storage.delete(spark, outgoing)
-    return spark.read.schema(df.schema).parquet(table)
+    return versions.replace(df, f"{folder.rstrip('/')}/{staging_name(job_name)}")
 
 
 def read_staging(spark: SparkSession, job_name: str, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{staging_name(job_name)}")
+    return versions.read_current(spark, f"{folder.rstrip('/')}/{staging_name(job_name)}")
 
 
 def append_history(
@@ -61,52 +54,68 @@ def append_history(
 def upsert_latest(
     state: DataFrame, updates: DataFrame, keys: Sequence[str], seq: Sequence[str]
 ) -> DataFrame:
-    """The last write per key, by ``seq``; an aggregate, so a hot key combines map-side."""
-    every = state.unionByName(updates)
-    rest = [c for c in every.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*seq)).alias("_last")
-    merged = every.groupBy(*keys).agg(last)
-    return merged.select(*[
-        F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in every.columns
-    ])
+    """The last write per key, by ``seq``; every map task passes on one row per key."""
+    return latest_per_key(state.unionByName(updates), keys, seq)
+
+
+# Names the part of a partition that a key lies in, where a partition has several.
+PART = "_part"
 
 
 def write_upsert(
-    path: str, updates: DataFrame, keys: Sequence[str], seq: Sequence[str], partition: str
+    path: str, updates: DataFrame, keys: Sequence[str], seq: Sequence[str], partition: str, parts: int | None = None
 ) -> None:
     """Merges ``updates`` into a table partitioned by ``partition`` (one of the keys).
 
     Only partitions the updates touch are read and rewritten; the merged rows are
-    checkpointed first because they come from the files being replaced.
+    checkpointed first because they come from the files being replaced. With ``parts`` a
+    partition is divided into so many parts by a hash of the key, and only the parts that hold
+    a key of the updates are read and rewritten: one changed key leaves the other files of its
+    partition as they are. ``read_upsert`` gives the rows of either kind of table; ``parts`` must
+    stay what it was when the table was first written.
     """
     spark = updates.sparkSession
     checkpoint_folder(spark)
+    columns, folders = updates.columns, [partition]
+    if parts is not None:
+        updates = updates.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+        folders.append(PART)
     if storage.exists(spark, path):
-        touched = updates.select(partition).distinct()
+        touched = updates.select(*folders).distinct()
         # With the written schema: a partition value such as "01" is not read as a number.
-        current = spark.read.schema(updates.schema).parquet(path)
-        values = bounded(touched)
-        if values is not None:  # prunes the partitions to read
-            known = [r[0] for r in values if r[0] is not None]
-            match = F.col(partition).isin(known) if known else F.lit(False)
-            if len(known) < len(values):
-                match = match | F.col(partition).isNull()
-            current = current.where(match)
-        else:
-            same = F.col(partition).eqNullSafe(F.col("_touched"))
-            current = current.join(touched.select(F.col(partition).alias("_touched")), same, "left_semi")
-        state = current.select(*updates.columns)
-        merged = upsert_latest(state, updates, keys, seq).checkpoint()
+        current = _touched(spark.read.schema(updates.schema).parquet(path), touched, folders)
+        merged = upsert_latest(current.select(*updates.columns), updates, keys, seq).checkpoint()
     else:
         merged = upsert_latest(updates.limit(0), updates, keys, seq)
-    _replace_partitions(merged, path, partition)
+    _replace_partitions(merged.select(*columns, *folders[1:]), path, *folders)
+
+
+def _touched(current: DataFrame, touched: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """The rows in the folders that ``touched`` names; the other folders are not read."""
+    def cell(name: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("null"))
+
+    folder = F.concat_ws("\0", *[cell(f) for f in folders])
+    known = bounded(touched.select(folder.alias("folder")).distinct())
+    if known is None:
+        named = touched.withColumnsRenamed({f: f"_{f}_touched" for f in folders})
+        same = [F.col(f).eqNullSafe(F.col(f"_{f}_touched")) for f in folders]
+        return current.join(named, reduce(lambda a, b: a & b, same), "left_semi")
+    # A condition on folder columns alone is judged once for each folder, before any file.
+    return current.where(folder.isin([r.folder for r in known]) if known else F.lit(False))
+
 
+def read_upsert(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of a table that ``write_upsert`` keeps."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop(PART)
 
-def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+
+def _replace_partitions(df: DataFrame, path: str, *folders: str) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
+        .partitionBy(*folders)
         .parquet(path)
     )
 
@@ -127,25 +136,13 @@ def redeliver(
         storage.delete(df.sparkSession, storage.partition_folder(path, key, job))
 
 
-def materialize_if_changed(
-    df: DataFrame, fingerprint: str, path: str, state_path: str, name: str
-) -> bool:
-    """Writes ``df`` unless ``state_path`` already records this fingerprint for ``name``."""
-    spark = df.sparkSession
-    if storage.exists(spark, state_path):
-        known = (
-            spark.read.parquet(state_path)
-            .where((F.col("name") == name) & (F.col("fingerprint") == F.lit(fingerprint)))
-        )
-        if not known.isEmpty() and storage.exists(spark, path):
-            return False
-    incoming = f"{path}.{uuid.uuid4().hex}"
-    df.write.parquet(incoming)
-    if storage.exists(spark, path):
-        storage.delete(spark, path)
-    storage.move(spark, incoming, path)
-    record = spark.range(1).select(
-        F.lit(fingerprint).alias("fingerprint"), F.lit(name).alias("name")
-    )
-    _replace_partitions(record, state_path, "name")
+def materialize_if_changed(df: DataFrame, fingerprint: str, path: str) -> bool:
+    """Makes ``df`` the current version of the table ``path`` unless that has this fingerprint.
+
+    Rows and fingerprint become current by the same rename, so neither is ever without the other.
+    """
+    now = versions.current(df.sparkSession, path)
+    if now is not None and now.note == fingerprint:
+        return False
+    versions.replace(df, path, fingerprint)
     return True

@@ -221,6 +221,22 @@ def landing_lookup(spark: SparkSession, directory: str, prefix: str) -> str | No
     return f"{directory.rstrip('/')}/{names[0]}" if names else None
 
 
+def first_matches(files: DataFrame, prefixes: DataFrame, name: str = "name", prefix: str = "prefix") -> DataFrame:
+    """(prefix, name): for each prefix the first file name, by name, that starts with it, null
+    if there is none. The lookup of ``landing_lookup`` for many prefixes over a listing.
+
+    A name is matched by its own starts of the lengths that prefixes have, so the join is on
+    equal texts; an empty prefix matches every name.
+    """
+    wanted = prefixes.select(F.col(prefix).alias("prefix")).where(F.col("prefix").isNotNull()).distinct()
+    # File names have 255 bytes at most; longer prefixes match none.
+    lengths = [r.n for r in wanted.select(F.length("prefix").alias("n")).where("n <= 255").distinct().collect()]
+    starts = F.array(*[F.when(F.length(name) >= n, F.left(name, F.lit(n))) for n in sorted(lengths)])
+    named = files.select(F.col(name).alias("name"), F.explode(F.array_compact(starts.cast("array<string>"))).alias("prefix"))
+    first = named.groupBy("prefix").agg(F.min("name").alias("name"))
+    return wanted.join(first, "prefix", "left").select("prefix", "name")
+
+
 def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, line) in file order; line_no starts at 1 and only orders the lines.
 

@@ -35,6 +35,14 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(e.getPath().getName() for e in entries if e.isFile())
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in a folder, sorted."""
+    if not exists(spark, folder):
+        return []
+    entries = file_system(spark, folder).listStatus(_path(spark, folder))
+    return sorted(e.getPath().getName() for e in entries if e.isDirectory())
+
+
 def matching_files(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     """Names of the regular files in a folder that start with ``prefix``, sorted."""
     escaped = re.sub(r"([*?\[\]{}\\])", r"\\\1", prefix)
@@ -72,6 +80,35 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename in one step; an error if the target exists."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    qualified = file_system(spark, target).makeQualified(_path(spark, target))
+    context = hadoop.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(file_system(spark, source).makeQualified(_path(spark, source)), qualified, options)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; an error if it exists."""
+    stream = file_system(spark, path).create(_path(spark, path), False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    stream = file_system(spark, path).open(_path(spark, path))
+    try:
+        size = file_system(spark, path).getFileStatus(_path(spark, path)).getLen()
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, int(size))).decode()
+    finally:
+        stream.close()
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """The first line of a text file without its line break; null for an empty file."""
     java = spark._jvm.java

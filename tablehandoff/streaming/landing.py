@@ -6,6 +6,7 @@ import hashlib
 import re
 import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tablehandoff import storage
 from tablehandoff.functions.text import content_hash
 from tablehandoff.session import work_folder
-from tablehandoff.sinks import tables
+from tablehandoff.sinks import tables, versions
 from tablehandoff.sources import files
 
 # Patience and poll interval in seconds.
 WAIT_SECONDS, POLL_SECONDS = 300, 10
 
+# Batches whose hashes lie in folders of their own before they are merged.
+STATE_BATCHES = 16
+
 _BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
@@ -109,6 +113,40 @@ def stream_upload(
     )
 
 
+def _base(state: str) -> str:
+    return f"{state.rstrip('/')}/_base"
+
+
+def seen_hashes(spark: SparkSession, state: str, own: str) -> DataFrame | None:
+    """The hashes recorded by all batches but ``own``: merged ones, and those of single batches."""
+    parts = []
+    if versions.current(spark, _base(state)) is not None:
+        parts.append(versions.read_current(spark, _base(state)))
+    if any(n.startswith("batch=") for n in storage.folder_names(spark, state)):
+        recent = spark.read.schema("hash STRING, batch STRING").parquet(state)
+        parts.append(recent.where(F.col("batch") != own).select("hash"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def compact_hashes(spark: SparkSession, state: str, own: str, most: int = STATE_BATCHES) -> None:
+    """Merges the folders of earlier batches into one table once there are more than ``most``.
+
+    The folder of ``own`` stays, since its batch may be replayed. The merged table becomes
+    current by one rename and folders go after that: a stop in between leaves a hash twice,
+    which changes nothing.
+    """
+    folders = [n for n in storage.folder_names(spark, state) if n.startswith("batch=")]
+    if len(folders) <= most:
+        return
+    merged = seen_hashes(spark, state, own)
+    if merged is None:
+        return
+    versions.replace(merged.distinct(), _base(state))
+    for name in folders:
+        if f"{state.rstrip('/')}/{name}" != storage.partition_folder(state, "batch", own):
+            storage.delete(spark, f"{state.rstrip('/')}/{name}")
+
+
 def skip_identical(
     stream: DataFrame, target: str, state: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
@@ -116,25 +154,26 @@ def skip_identical(
 
     The hashes seen live in a table, so the stream itself keeps no growing state. Hashes
     recorded by the same batch are ignored: they come from an attempt that is being
-    replayed and will be overwritten.
+    replayed and will be overwritten. The bytes of a file are read and hashed once, into a
+    folder of the batch; what is new is taken from there.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark, own = batch.sparkSession, batch_name(checkpoint, batch_id)
-        hashed = batch.select("path", "content", content_hash(F.col("content")).alias("hash"))
+        staged = work_folder(spark, "arrived")
+        batch.select("path", "content", content_hash(F.col("content")).alias("hash")).write.parquet(staged)
+        arrived = spark.read.parquet(staged)
         # Of equal files in one batch the first path counts; contents stay out of the shuffle.
-        first = hashed.groupBy("hash").agg(F.min("path").alias("path"))
-        if storage.exists(spark, state):
-            known = (
-                spark.read.schema("hash STRING, batch STRING").parquet(state)
-                .where(F.col("batch") != own)
-                .select("hash")
-            )
+        first = arrived.groupBy("hash").agg(F.min("path").alias("path"))
+        known = seen_hashes(spark, state, own)
+        if known is not None:
             first = first.join(known, "hash", "left_anti")
         first = first.checkpoint()
-        new = hashed.join(first, ["hash", "path"], "left_semi")
+        new = arrived.join(first, ["hash", "path"], "left_semi")
         tables.append_history(new, target, own)
         tables.append_history(first.select("hash"), state, own)
+        compact_hashes(spark, state, own)
+        storage.delete(spark, staged)
 
     work_folder(stream.sparkSession, "skip")  # names the checkpoint folder of the session
     return (

@@ -49,13 +49,13 @@ def run_report(spark, cases, set_names, registry_error=None):
     connections = spark.createDataFrame(
         [("oracle_dev", {"user": "ORACLE_DEV_USER", "password": "ORACLE_DEV_PASSWORD"}),
          ("mule_repo_dev", {"token": "MULE_REPO_TOKEN"}), ("sftp_dev", {"user": "SFTP_DEV_USER"}),
-         ("git_main", {"token": "NEVER_USED"})],
+         ("git_main", {"token": "NEVER_USED"}), ("mule_dev", {})],
         "name string, secrets map<string,string>",
     )
     out = manifests.manifest_report(
         spark.createDataFrame(jobs, "job string, text string, header string"),
         spark.createDataFrame(there, "job string, path string"), connections,
-        spark.createDataFrame([(n,) for n in set_names], "name string"), KNOWN, registry_error,
+        spark.createDataFrame([(n,) for n in set_names], "name string"), registry_error,
     ).collect()
     return {
         j: tuple([r.message for r in out if (r.job, r.severity) == (j, s)] for s in ("error", "warning"))
@@ -197,13 +197,12 @@ def test_references_both_ways(spark):
 
 def test_registry(spark):
     registry = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "name string")
-    known = references.known_names(registry, "name")
-    assert known == ["a", "b"]
-    used = spark.createDataFrame([("x",), ("a",)], "name string")
-    assert rows(references.unknown_keys(used, "name", known)) == [("x", "['a', 'b']")]
-    assert references.unknown_keys(used, "name", []).count() == 2
-    with pytest.raises(references.RegistryError):
-        references.known_names(spark.range(10_001).select(F.col("id").cast("string").alias("name")), "name")
+    used = spark.createDataFrame([("x",), ("a",), (None,)], "name string")
+    assert rows(references.unknown_keys(used, "name", registry)) == [("x", "['a', 'b']")]
+    assert references.unknown_keys(used, "name", registry.limit(0)).count() == 2
+    large = spark.range(10, 3010).select(F.col("id").cast("string").alias("name"))
+    row = references.unknown_keys(used.where("name = 'x'"), "name", large).first()
+    assert row.known.startswith("['10', '100', '1000', ") and row.known.endswith(", ... 3000 names in all]")
 
 
 def test_overlay(spark):

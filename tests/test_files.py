@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tablehandoff.operators import assertions
+from tablehandoff.sinks import versions
 from tablehandoff.sinks import files as sinks
 from tablehandoff import storage
 from tablehandoff.sinks import tables
@@ -221,6 +222,32 @@ def test_jdbc_options():
         relational.read_options(meta, "students", partitions=4)
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_ranges_by_histogram_share_out_all_rows(spark, partitions):
+    # Half of the rows have one key, most others lie close together, some are null.
+    keys = [7] * 500 + [i % 60 for i in range(400)] + [10_000 + 900 * i for i in range(95)] + [None] * 5
+    df = spark.createDataFrame(list(enumerate(keys)), "id int, k int")
+    df.createOrReplaceTempView("keyed")
+    counts = spark.sql(relational.histogram_query("keyed", "k", 0, 100_000, 100_000)).collect()
+    assert sum(r.n for r in counts) == 995 and counts[0].low == 0
+    cells = [relational.Cell(*r) for r in counts]
+    found = relational.range_predicates("k", cells, partitions, "id")
+    parts = [[r.id for r in df.where(p).collect()] for p in found]
+    assert sorted(i for p in parts for i in p) == list(range(1000))
+    assert len(found) <= 3 * partitions + 2 and max(map(len, parts)) <= 2 * -(-995 // partitions)
+    whole = relational.range_predicates("k", cells, partitions)
+    assert sorted(r.id for p in whole for r in df.where(p).collect()) == list(range(1000))
+
+
+def test_histogram_of_nothing_and_literals():
+    assert relational.range_predicates("k", [], 4) == ["k is null"]
+    one = relational.range_predicates("k", [relational.Cell("a'b", "a'b", 3), relational.Cell("c", "d", 9)], 2)
+    assert one == ["k < 'c'", "k >= 'c'", "k is null"]
+    assert relational.sql_value(date(2024, 1, 2)) == "date '2024-01-02'"
+    with pytest.raises(TypeError):
+        relational.sql_value(None)
+
+
 def test_refresh_staging_may_read_itself(spark, folder, extract):
     first = tables.refresh_staging(extract, "job_v1", folder)
     assert rows(first) == rows(extract) and os.path.isdir(f"{folder}/STG_JOB_V1")
@@ -281,12 +308,14 @@ def test_materialize_only_when_changed(spark, folder, extract):
     fp = table_fingerprint(extract)
     assert fp == table_fingerprint(extract.repartition(1))
     assert fp != table_fingerprint(extract.unionByName(extract.limit(1)))
-    path, state = f"{folder}/out", f"{folder}/state"
-    assert tables.materialize_if_changed(extract, fp, path, state, "x") is True
-    assert tables.materialize_if_changed(extract, fp, path, state, "x") is False
-    assert tables.materialize_if_changed(extract, "other", path, state, "x") is True
+    path = f"{folder}/out"
+    assert tables.materialize_if_changed(extract, fp, path) is True
+    assert tables.materialize_if_changed(extract.limit(0), fp, path) is False
+    assert rows(versions.read_current(spark, path)) == rows(extract)
+    assert tables.materialize_if_changed(extract.limit(1), "other", path) is True
+    assert versions.read_current(spark, path).count() == 1
     storage.delete(spark, path)
-    assert tables.materialize_if_changed(extract, "other", path, state, "x") is True
+    assert tables.materialize_if_changed(extract, "other", path) is True
 
 
 def test_zero_padded_numbers(spark, folder):
@@ -308,3 +337,31 @@ def test_upsert_null_and_text_partitions(spark, folder):
     write_upsert(path, spark.createDataFrame([(None, 2, "y", 2), ("01", 1, "y", 2)], kind), ["g", "k"], ["s"], "g")
     got = spark.read.schema(kind).parquet(path).select("g", "k", "v").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, 1, "x"), (None, 2, "y"), ("01", 1, "y"), ("1", 1, "x")], key=str)
+
+
+def test_an_update_of_one_key_leaves_other_files(spark, folder):
+    kind, path = "g string, k int, v string, s int", f"{folder}/t"
+    rows_of = [(g, k, "old", 1) for g in ("01", "1", None, "a b") for k in range(200)]
+
+    def held():
+        return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+
+    tables.write_upsert(path, spark.createDataFrame(rows_of, kind), ["g", "k"], ["s"], "g", parts=8)
+    before = held()
+    updates = [("01", 7, "new", 2), (None, 3, "new", 2), ("a b", 5, "late", 0), ("z", 1, "first", 1)]
+    tables.write_upsert(path, spark.createDataFrame(updates, kind), ["g", "k"], ["s"], "g", parts=8)
+    after = held()
+    gone = {p.rsplit("/", 1)[0] for p in before if p not in after}
+    assert len(gone) == 3 and len({p.rsplit("/", 1)[0] for p in before}) == 32
+    want = {(g, k): v for g, k, v, _ in rows_of} | {("01", 7): "new", (None, 3): "new", ("z", 1): "first"}
+    got = tables.read_upsert(spark, path, spark.createDataFrame([], kind).schema).collect()
+    assert {(r.g, r.k): r.v for r in got} == want and len(got) == len(want)
+
+
+def test_upsert_prunes_folders_before_reading(spark, folder):
+    kind, path = "g int, k int, s int", f"{folder}/t"
+    tables.write_upsert(path, spark.createDataFrame([(i % 5, i, 1) for i in range(100)], kind), ["g", "k"], ["s"], "g")
+    schema = spark.createDataFrame([], kind).schema
+    some = tables._touched(spark.read.schema(schema).parquet(path), spark.createDataFrame([(3,)], "g int"), ["g"])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert some.count() == 20 and "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan

@@ -139,14 +139,16 @@ def test_section_cap_is_strict(spark):
 @given(
     st.lists(st.text("abé ", max_size=12), min_size=1, max_size=8),
     st.lists(st.text("abé ", max_size=3), max_size=6),
-    st.sampled_from([3, 1000]),
+    st.sampled_from([3, 1 << 22]),
 )
-def test_scan_equals_brute_force(spark, texts, values, chunk):
+def test_scan_equals_brute_force(spark, texts, values, size):
     docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     table = spark.createDataFrame([(f"n{i}", v) for i, v in enumerate(values)], "name string, value string")
-    found = sensitive.sensitive_scan(docs, "id", "text", table, "name", "value", chunk)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sensitive, "SLICE_BYTES", size)
+        found = sensitive.sensitive_scan(docs, "id", "text", table, "name", "value").collect()
     want = sorted((i, f"n{j}") for i, t in enumerate(texts) for j, v in enumerate(values) if v and v in t)
-    assert sorted(tuple(r) for r in found.collect()) == want
+    assert sorted(tuple(r) for r in found) == want
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -171,6 +173,35 @@ def test_scan_names_only(spark):
     assert "test-password" not in found._jdf.queryExecution().toString()
 
 
+def test_scan_joins_by_anchor(spark):
+    draw = random.Random(2)
+
+    def word(n):
+        return "".join(draw.choice("abcdeé") for _ in range(n))
+
+    values = [(f"n{i}", word(draw.choice([1, 3, 5, 9, 17, 40, 200]))) for i in range(300)] + [("n0", "twice"), ("same", "twice"), (None, "no name")]
+    body = [" ".join(word(draw.randint(1, 60)) for _ in range(20)) for _ in range(150)]
+    for i in range(0, 150, 2):
+        body[i] += "".join(v for _, v in draw.sample(values, 3))
+    body += ["twice twice " * 2000, "", None, values[0][1], "x" * 500_000 + values[5][1]]
+    docs = [(i if i % 9 else None, t) for i, t in enumerate(body)]
+    df = spark.createDataFrame(docs, "id int, text string").repartition(3)
+    table = spark.createDataFrame(values + [("none", None), ("empty", "")], "name string, value string").repartition(2)
+    found = sensitive.sensitive_scan(df, "id", "text", table, "name", "value")
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = sorted((str(i), str(n)) for i, t in docs if t for n in {n for n, v in values if v in t})
+    assert sorted((str(r.id), str(r.name)) for r in found.collect()) == want
+
+
+def test_scan_without_values(spark):
+    docs = spark.createDataFrame([(1, "x")], "id int, text string")
+    for values in ([], [("a", ""), ("b", None)]):
+        table = spark.createDataFrame(values, "name string, value string")
+        found = sensitive.sensitive_scan(docs, "id", "text", table, "name", "value")
+        assert found.columns == ["id", "name"] and found.count() == 0
+
+
 def test_render(spark):
     data = [("a", i, f"v{i}") for i in range(25)] + [("b", 1, "x")]
     df = spark.createDataFrame(data, "file string, n int, v string").repartition(3)

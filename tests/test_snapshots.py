@@ -228,3 +228,52 @@ def test_switch_to_deploy_still_delivers(spark):
     )
     c = decisions.needs_delivery(F.col("state"), F.col("deploy"), F.col("built"), F.col("delivered"))
     assert [r.job for r in df.where(c).collect()] == ["built"]
+
+
+def plain_tree(lines):
+    """The digest of digests of (key, value) rows, in plain Python."""
+    rows_of = {}
+    for k, v in lines:
+        cells = "".join(("\1" if c is None else c) + "\0" for c in (k, v))
+        digest = hashlib.sha256(cells.encode()).hexdigest()
+        rows_of[digest] = rows_of.get(digest, 0) + 1
+    entries = {d: f"{d}:{n};" for d, n in rows_of.items()}
+    for digits in (6, 3, 0):
+        below = {}
+        for start, entry in entries.items():
+            below.setdefault(start[:digits], []).append(entry)
+        entries = {s: f"{s}:{hashlib.sha256(''.join(sorted(e)).encode()).hexdigest()};" for s, e in below.items()}
+    return "sha256:" + entries[""][1:-1]
+
+
+def test_fingerprint_tree(spark):
+    lines = [("hot", f"k{i % 700}", f"h{i % 650}") for i in range(3000)] + [("hot", "copy", "h")] * 2000
+    lines += [("one", "k", "h"), ("null", None, "h"), ("null", "", "h"), ("empty", "", "h"), ("empty", "", "h"), (None, "k", None)]
+    df = spark.createDataFrame(lines, "g string, k string, v string")
+    found = [
+        {r.g: (r.n, r.form, r.fingerprint) for r in snapshots.fingerprint(x, ["g"], "k", "v", snapshots.TREE).collect()}
+        for x in (df.repartition(7), df.coalesce(1), df.orderBy(F.desc("v")).repartition(3, "g"))
+    ]
+    assert found[0] == found[1] == found[2]
+    for g in {x[0] for x in lines}:
+        own = [x[1:] for x in lines if x[0] == g]
+        assert found[0][g] == (len(own), "tree", plain_tree(own))
+    assert len({f[2] for f in found[0].values()}) == 5
+
+
+def test_fingerprint_tree_spreads_a_hot_group(spark):
+    df = spark.range(50_000).select(F.lit("hot").alias("g"), F.col("id").cast("string").alias("k"), F.lit("h").alias("v"))
+    leaves = snapshots._tree_node(
+        df.groupBy("g", F.sha2("k", 256).alias("_row")).agg(F.count(F.lit(1)).alias("n")), ["g"], snapshots.LEAF_DIGITS, F.col("_row")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = leaves.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert leaves.agg(F.max("n")).first()[0] <= 5 and len(sizes) == 4 and max(r.n for r in sizes) < 15_000
+
+
+def test_unknown_form(spark):
+    with pytest.raises(ValueError):
+        snapshots.fingerprint(spark.createDataFrame([("a", "b", "c")], "g string, k string, v string"), ["g"], "k", "v", "other")

@@ -84,6 +84,29 @@ def test_skip_identical(spark, folder):
     assert spark.read.parquet(state).count() == 3
 
 
+def test_state_of_many_batches_stays_small(spark, folder, monkeypatch):
+    from tablehandoff import storage
+    from tablehandoff.sinks import versions
+
+    monkeypatch.setattr(landing, "STATE_BATCHES", 3)
+    monkeypatch.setattr(landing.compact_hashes, "__defaults__", (3,))
+    box, target, state, check = (f"{folder}/{n}" for n in ("box", "t", "s", "c"))
+    for i in range(14):
+        put(box, f"f{i:02d}", f"content {i % 9}")
+        stream = landing.landing_files(spark, box, "f")
+        landing.skip_identical(stream, target, state, check).awaitTermination()
+        held = [n for n in storage.folder_names(spark, state) if n.startswith("batch=")]
+        assert len(held) <= 4
+    assert sorted(bytes(r.content).decode() for r in spark.read.parquet(target).collect()) == [f"content {i}" for i in range(9)]
+    # A replay of the latest batch finds what it recorded itself to be its own, and nothing else.
+    own = landing.batch_name(check, 13)
+    assert {r.hash for r in landing.seen_hashes(spark, state, own).distinct().collect()} == {r.hash for r in spark.read.parquet(target).collect()}
+    assert versions.current(spark, f"{state}/_base") is not None
+    # Bytes staged for a batch do not stay.
+    base = spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/tablehandoff"
+    assert not [n for n in storage.folder_names(spark, base) if n.startswith("arrived")]
+
+
 def test_latest_per_branch_equals_batch(spark, folder):
     box, check = f"{folder}/box", f"{folder}/c"
     put(box, "p1.csv", "k,n\na,1\nb,5\na,3\n")
