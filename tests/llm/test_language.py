@@ -66,3 +66,30 @@ def test_too_many_languages(spark, monkeypatch):
     monkeypatch.setattr(language, "MAX_LANGUAGES", 1)
     with pytest.raises(ValueError):
         language.learn(spark.createDataFrame([("a", "x"), ("b", "y")], "text string, lang string"))
+
+
+def test_against_every_dictionary_tried_plainly(spark, folder):
+    import regex
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(1000, "Ein Satz auf Deutsch.", "de"), (1001, "x", "en"), (1002, "99 !", None), (1003, "word " * 9000, "en")], docs.schema)
+    docs.unionByName(extra).write.parquet(folder + "/docs")
+    docs = spark.read.parquet(folder + "/docs")
+    learned = language.learn(docs)
+    got = {r.doc_id: (r.lang_pred, r.score, r.rejected) for r in language.identify(docs, learned).collect()}
+    for doc_id, text, _ in docs.collect():
+        plain = regex.sub(r"\P{L}+", " ", text).lower()
+        if not regex.search(r"\p{L}", plain):
+            assert got[doc_id] == ("und", 0.0, True)
+            continue
+        data = plain.encode()
+        sizes = []
+        for name, content in learned.items():
+            sample = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            blocks = [data[i : i + language.BLOCK] for i in range(0, len(data), language.BLOCK)]
+            sizes.append((sum(len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=sample).compress(b)) for b in blocks), name))
+        first = min(sizes, key=lambda s: s[0])
+        second = sorted(s for s, _ in sizes)[1]
+        score = (second - first[0]) / second
+        assert got[doc_id] == (first[1], score, score < language.MARGIN and first[0] < len(data)), text[:60]
