@@ -62,7 +62,8 @@ class Cell(NamedTuple):
 
 def histogram_query(table_or_query: str, key: str, low: Any, high: Any, cells: int) -> str:
     """SQL for the histogram of a numeric key: (low, high, rows) of the filled cells, by key."""
-    cell = f"floor(({key} - ({low})) * {cells} / ({high} - ({low}) + 1))"
+    width = (float(high) - float(low) + 1) / cells
+    cell = f"floor(({key} - ({low})) / {width!r})"
     return (
         f"select min({key}) as low, max({key}) as high, count(*) as n from ({_inner(table_or_query)}) t "
         f"where {key} is not null group by {cell} order by 1"
