@@ -21,6 +21,7 @@ follows them, which makes weighted averages over the samples unbiased.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -136,7 +137,16 @@ _MASK = (1 << 64) - 1
 
 
 def _mix_one(x: int) -> int:
-    return int(mix(np.array([x], dtype=np.uint64))[0])
+    """``mix`` of one number."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & _MASK
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & _MASK
+    return x ^ (x >> 31)
+
+
+def _uniform_one(x: int) -> float:
+    return ((_mix_one(x & _MASK) >> 11) + 0.5) * 2.0**-53
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -205,7 +215,7 @@ class Lattices:
         pieces.append(-codes[bare] - 1)
         start, size, piece = np.concatenate(starts), np.concatenate(sizes), np.concatenate(pieces)
         left = end[start] - start
-        order = np.lexsort((start, left))
+        order = np.argsort(left * (n + 1) + start)
         start, size, piece, left = start[order], size[order], piece[order], left[order]
         code = -piece - 1
         n_bytes = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
@@ -268,18 +278,26 @@ class Lattices:
         """(pieces, log chance) of a segmentation of one word, drawn from all but ``without``."""
         place, stop, log, step, out = int(self.first[word]), int(self.end[word]), 0.0, 0, []
         while place < stop:
+            low = int(self.edge[place])
             high = int(self.edge[place + 1]) if place + 1 < len(self.edge) else len(self.piece)
-            edges = range(int(self.edge[place]), high)
-            open_mass = [np.exp(self.log[e]) - sum(self._rest(place, w, step) for w in without if w[step] == self.piece[e]) for e in edges]
-            open_mass = np.maximum(open_mass, 0.0)
-            u = (_mix_one((seed + (step + 1) * _STEP) & _MASK) >> 11) * 2.0**-53
-            chosen = int(np.searchsorted(np.cumsum(open_mass), u * open_mass.sum(), side="right"))
-            edge = edges[min(chosen, int(np.flatnonzero(open_mass)[-1]))]
-            piece = int(self.piece[edge])
-            log += float(self.log[edge])
-            out.append(piece)
-            without = tuple(w for w in without if w[step] == piece)
-            place, step = place + int(self.size[edge]), step + 1
+            pieces, logs = self.piece[low:high].tolist(), self.log[low:high].tolist()
+            open_mass = [math.exp(x) for x in logs]
+            for w in without:
+                at = pieces.index(w[step])
+                open_mass[at] -= self._rest(place, w, step)
+            open_mass = [max(x, 0.0) for x in open_mass]
+            left = _uniform_one(seed + (step + 1) * _STEP) * sum(open_mass)
+            chosen = 0
+            for i, mass in enumerate(open_mass):
+                if mass > 0.0:  # the last one with any takes what rounding leaves
+                    chosen = i
+                    if left < mass:
+                        break
+                    left -= mass
+            log += logs[chosen]
+            out.append(pieces[chosen])
+            without = tuple(w for w in without if w[step] == pieces[chosen])
+            place, step = place + int(self.size[low + chosen]), step + 1
         return np.array(out, dtype=np.int64), log
 
     def _rest(self, place: int, pieces: tuple[int, ...], step: int) -> float:
@@ -291,7 +309,7 @@ class Lattices:
                 edge += 1
             log += float(self.log[edge])
             place += int(self.size[edge])
-        return float(np.exp(log))
+        return math.exp(log)
 
 
 class _Path(NamedTuple):
@@ -320,7 +338,7 @@ def _search(draws, lattices: Lattices, words: np.ndarray, low: int, high: int, s
     """The ``k`` best perturbed segmentations of the words low..high: (path, log, perturbed), and
     the perturbed value that follows."""
     n = high - low
-    top = float(_gumbel(_uniform(np.array([seed], np.uint64)))[0])
+    top = -math.log(-math.log(_uniform_one(seed)))
     queue: list = [(-top, 0, -1, None, (), 0.0)]
     found, made = [], 0
     while queue and len(found) < k:
