@@ -29,7 +29,7 @@ def table(spark):
     return df, [tuple(r) for r in df.collect()]
 
 
-@pytest.mark.parametrize("limit", [30, 1_000_000])
+@pytest.mark.parametrize("limit", [300, 1_000_000])
 @pytest.mark.parametrize("names", [["k"], ["n.m", "d"], ["note", "x"]])
 def test_places(table, monkeypatch, names, limit):
     df, data = table
