@@ -13,6 +13,7 @@ from tablehandoff.registry.base import STG, Tables, query
 from tablehandoff.registry.delivery import COLUMNS, EXPORT_SQL, RUN_DATE
 from tablehandoff.registry.tables import KEYS, SCHEMA, TEXT_COLUMNS, extract
 from tablehandoff.sinks import files as file_sinks
+from tablehandoff.sinks import versions
 from tablehandoff.sources import files
 from tablehandoff.streaming import landing
 
@@ -95,3 +96,13 @@ def skip_numbered(t: Tables) -> DataFrame:
 @query("SELECT page_id, url FROM pages WHERE starts_with(url, 'https://www.')")
 def match_prefix(t: Tables) -> DataFrame:
     return t.pages.select("page_id", "url").where(text.match_prefix(F.col("url"), "https://www."))
+
+
+@query(EXPORT_SQL)
+def delivered_version(t: Tables) -> DataFrame:
+    """A delivery of many files as one version; the one before held other rows."""
+    folder = session.work_folder(t.spark, "version") + "/out"
+    whole = extract(t)
+    for df in (whole.where(F.col("o_orderdate") < "1995-06-01"), whole):
+        file_sinks.deliver_version(df, folder, "csv", KEYS, ROWS_PER_FILE)
+    return versions.read_current(t.spark, folder, whole.schema, "csv", header=True, escape='"')

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablehandoff.functions.dates import resolve_file_name
 from tablehandoff import storage
+from tablehandoff.sinks import versions
 from tablehandoff.sources.files import FixedColumn
 
 class LayoutError(ValueError):
@@ -84,6 +85,36 @@ def _staged(directory: str) -> str:
     return f"{directory.rstrip('/')}/.incoming-{uuid.uuid4().hex}"
 
 
+def _lines(df: DataFrame) -> int:
+    """The number of rows; an error if a value holds a line break."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "varchar", "char")]
+    broken = [F.count_if(F.col(c).rlike(r"[\r\n]")).alias(c) for c in texts]
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *broken).first()
+    wrong = [f"{c}: {counted[c]} rows" for c in texts if counted[c]]
+    if wrong:
+        raise LayoutError("values hold line breaks (" + ", ".join(wrong) + ")")
+    return counted["_rows"]
+
+
+def deliver_version(
+    df: DataFrame, directory: str, fmt: str, order_by: Sequence[str], rows_per_file: int, **options: object
+) -> versions.Pointer:
+    """All files of a delivery as one version of ``directory``, current from one rename on.
+
+    For deliveries of many files: nothing is done file by file, and whoever reads the current
+    version gets the files of one delivery, never some of two. Files keep the names of the
+    writer, whose order is that of the rows; the pointer records how many rows they hold.
+    """
+    spark, base = df.sparkSession, directory.rstrip("/")
+    rows = _lines(df) if fmt == "csv" else df.count()
+    parts = ordered_parts(df, order_by, rows, rows_per_file)
+    if fmt == "csv":
+        options = {"header": True, "escape": '"'} | options
+    pointer = versions.publish(spark, base, versions.write_version(parts, base, fmt, **options), str(rows))
+    versions.clean(spark, base)
+    return pointer
+
+
 def deliver_csv(
     df: DataFrame,
     directory: str,
@@ -98,14 +129,8 @@ def deliver_csv(
     Without ``rows_per_file`` one file of the agreed name, written by one task; with it
     numbered files. A value with a line break is an error: readers take a line for a row.
     """
-    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "varchar", "char")]
-    broken = [F.count_if(F.col(c).rlike(r"[\r\n]")).alias(c) for c in texts]
-    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *broken).first()
-    wrong = [f"{c}: {counted[c]} rows" for c in texts if counted[c]]
-    if wrong:
-        raise LayoutError("values hold line breaks (" + ", ".join(wrong) + ")")
     staged = _staged(directory)
-    parts = ordered_parts(df, order_by, counted["_rows"], rows_per_file)
+    parts = ordered_parts(df, order_by, _lines(df), rows_per_file)
     parts.write.option("header", True).option("sep", sep).option("escape", '"').csv(staged)
     return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 

@@ -49,20 +49,22 @@ def current(spark: SparkSession, table: str) -> Pointer | None:
     return read_pointer(spark, table, numbers[-1]) if numbers else None
 
 
-def read_current(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
+def read_current(
+    spark: SparkSession, table: str, schema: StructType | None = None, fmt: str = "parquet", **options: object
+) -> DataFrame:
     """The rows of the current version. They stay those of that version: a later publication
     keeps the version before it."""
     now = current(spark, table)
     if now is None:
         raise FileNotFoundError(f"no version of {table} was published")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{table}/{now.version}")
+    return reader.format(fmt).options(**options).load(f"{table}/{now.version}")
 
 
-def write_version(df: DataFrame, table: str) -> str:
+def write_version(df: DataFrame, table: str, fmt: str = "parquet", **options: object) -> str:
     """Writes the rows as a version that is not current yet; returns its name."""
     version = f"version-{uuid.uuid4().hex}"
-    df.write.parquet(f"{table}/{version}")
+    df.write.format(fmt).options(**options).save(f"{table}/{version}")
     return version
 
 

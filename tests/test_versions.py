@@ -99,3 +99,23 @@ def test_two_writers_and_old_versions(spark, folder):
         versions.publish(spark, path, now)
         versions.clean(spark, path, keep=1)
     assert rows(versions.read_current(spark, path)) == [(0, "3")]
+
+
+def test_many_files_are_delivered_together(spark, folder, monkeypatch):
+    from tablehandoff.sinks import files
+
+    path = f"{folder}/out"
+    first = spark.createDataFrame([(i, f"a{i},\"") for i in range(100)], SCHEMA)
+    pointer = files.deliver_version(first, path, "csv", ["k"], 10)
+    assert pointer.note == "100" and len(storage.file_names(spark, f"{path}/{pointer.version}")) >= 10
+    read = lambda: rows(versions.read_current(spark, path, first.schema, "csv", header=True, escape='"'))
+    assert read() == rows(first)
+    with pytest.raises(files.LayoutError):
+        files.deliver_version(first.withColumn("v", F.lit("a\nb")), path, "csv", ["k"], 10)
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "rename", lambda *a: (_ for _ in ()).throw(Stopped()))
+        with pytest.raises(Stopped):
+            files.deliver_version(first.limit(5), path, "csv", ["k"], 10)
+    assert read() == rows(first)
+    assert files.deliver_version(first.limit(0), path, "json", ["k"], 10).note == "0"
+    assert versions.read_current(spark, path, first.schema, "json").count() == 0
