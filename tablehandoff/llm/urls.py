@@ -22,31 +22,54 @@ DECAY = 1e-3
 # Rows that a labelled table may have.
 MAX_LABELLED = 2_000
 
-# Hosts and paths of the labelled table (fixed values): blocked, allowed.
-BLOCKED = """casino-royal.example.com/play free-casino.example.net/slots win-bets.example.org/odds bets-now.example.com/en/1
-casino-win.example.net/en/77 free-bets.example.net/live spam-farm.example.org/en/5 link-farm.example.com/links spamlinks.example.net/x
-cheap-pills.example.net/buy pills-shop.example.org/order viagra-cheap.example.com/buy online-pharma.example.net/pills
-adult-x.example.com/en/9 adult-video.example.net/watch xxx-adult.example.org/free porn-tube.example.com/watch sex-chat.example.net/live
-ads-track.example.com/click track-ads.example.net/pixel adserver.example.org/banner popup-ads.example.com/win click-track.example.net/r
-free-prizes.example.com/win win-money.example.net/now lottery-win.example.org/claim poker-bets.example.com/table slots-casino.example.net/en/3
-warez-free.example.com/crack keygen-crack.example.net/dl malware-site.example.org/setup phish-login.example.com/verify seo-spam.example.net/farm
-buy-followers.example.com/cheap cheap-loans.example.net/apply payday-loans.example.org/fast miracle-pills.example.com/diet""".split()
-ALLOWED = """news.example.com/en/12 www.library.example.org/catalogue m.weather.example.net/de/25 blog.garden.example.com/es/8
-university.example.org/courses museum.example.net/visit city-hall.example.com/services docs.software.example.org/guide
-recipes.example.com/fr/31 travel-notes.example.net/en/17 health.example.org/advice science.example.com/en/204 history.example.net/de/90
-www.thereon.example.com/es/13 tionsh.example.net/en/27 blog.ththre.example.org/en/35 m.ththin.example.org/en/45 blog.tionble.example.com/de/27
-ththon.example.com/en/10 m.tiontion.example.com/en/59 ththhe.example.com/fr/45 thering.example.org/en/71 anderen.example.net/de/6
-school.example.org/timetable hospital.example.com/departments council.example.net/minutes orchestra.example.org/concerts
-forum.example.com/topic/41 wiki.example.org/page/Main photos.example.net/album/7 shop.books.example.com/item/3 archive.example.org/1999/05
-sports.example.com/results music.example.net/reviews theatre.example.org/programme kitchen.example.com/en/66 rivers.example.net/map
-maps.example.org/europe trains.example.com/timetable bakery.example.net/menu farm-museum.example.org/visit""".split()
+# Words of the labelled table (fixed values): what blocked sites are about, what lures to them;
+# what allowed sites are about, which ones they are; syllables of names that mean nothing.
+BLOCKED = (
+    "casino bets betting poker slots lottery jackpot roulette pills viagra pharma steroids dieting adult porn xxx sex escort "
+    "ads adserver tracking tracker clicks popup banner spam phishing malware warez keygen crack scam loans payday prizes "
+    "winner followers giveaway"
+).split()
+LURES = "free cheap win best online royal hub club zone world shop deals vip tube".split()
+ALLOWED = (
+    "news library weather garden university museum council docs software recipes travel health science history school "
+    "hospital orchestra forum wiki photos books archive sports music theatre kitchen rivers maps trains bakery castle harbour "
+    "village market letters poems physics chemistry gallery cinema railway cathedral"
+).split()
+SIDES = "city old town open public green north south river local young blue".split()
+SYLLABLES = "ba ne li ro tu ma se ko vi da ther ing ent ion ste wal han tor".split()
+NAMES = 160
 
 # (host, path, verdict); the longest that fits decides.
 Rule = tuple[str, str, str]
 
 
+def labelled_hosts() -> list[tuple[str, float]]:
+    """(host, 1 for blocked): every word with some of its companions, and made-up names."""
+    out = []
+    for i, word in enumerate(BLOCKED):
+        for j in range(5):
+            lure = LURES[(3 * i + 5 * j + 1) % len(LURES)]
+            out.append((f"{lure}-{word}" if (i + j) % 2 else f"{word}-{lure}", 1.0))
+        out.append((word + LURES[(i + 2) % len(LURES)], 1.0))
+    for i, word in enumerate(ALLOWED):
+        for j in range(3):
+            side = SIDES[(5 * i + 7 * j) % len(SIDES)]
+            out.append((f"{side}-{word}" if (i + j) % 2 else f"{word}-{side}", 0.0))
+        out += [(word, 0.0), (word + SIDES[i % len(SIDES)], 0.0)]
+    n = len(SYLLABLES)
+    for i in range(NAMES):
+        out.append(("".join(SYLLABLES[(7 * i + j * (5 + i // n) + i // 3) % n] for j in range(2 + i % 3)), 0.0))
+    return out
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    rows = [(f"https://{u}", 1.0) for u in BLOCKED] + [(f"https://{u}", 0.0) for u in ALLOWED]
+    """The labelled table: blocked and allowed hosts under the same domains and paths."""
+    before, domains = ["", "www.", "m.", "blog."], ["example.com", "example.net", "example.org"]
+    paths = ["", "/en/{}", "/de/{}", "/es/{}", "/fr/{}", "/index", "/page/{}?a=1"]
+    rows = [
+        (f"https://{before[n % 4]}{host}.{domains[n % 3]}{paths[n % 7].format(n % 97)}", label)
+        for n, (host, label) in enumerate(labelled_hosts())
+    ]
     return spark.createDataFrame(rows, "url string, blocked double")
 
 

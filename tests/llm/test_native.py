@@ -80,6 +80,39 @@ def test_urls(spark):
     assert urls.train(labelled.limit(0)) == [0.0] * (urls.BUCKETS + 1)
 
 
+def blocked_when_held_out(rows, folds):
+    """Whether each row is blocked by a model of the rows of other folds."""
+    x = np.zeros((len(rows), urls.BUCKETS + 1))
+    for i, (u, _) in enumerate(rows):
+        f = [*features(*split(u)), urls.BUCKETS]
+        x[i, f] = 1 / math.sqrt(len(f))
+    y, out = np.array([b for _, b in rows]), np.zeros(len(rows), dtype=bool)
+    for k in set(folds.tolist()):
+        keep, w = folds != k, np.zeros(urls.BUCKETS + 1)
+        for _ in range(urls.STEPS):
+            w = w * (1 - urls.RATE * urls.DECAY) + urls.RATE * x[keep].T @ (y[keep] - 1 / (1 + np.exp(-x[keep] @ w)))
+        out[~keep] = x[~keep] @ w >= 0
+    return out, y == 1
+
+
+def test_held_out_urls(spark):
+    rows = [(r.url, r.blocked) for r in urls.labelled_urls(spark).collect()]
+    assert len(rows) == len(set(rows)) <= urls.MAX_LABELLED
+    found, true = blocked_when_held_out(rows, np.arange(len(rows)) % 3)
+    assert (found & true).sum() / found.sum() >= 0.95 and (found & true).sum() / true.sum() >= 0.95
+    # Whole words held out, blocked and allowed ones: harder, since nothing about them was learned.
+    words = urls.BLOCKED + urls.ALLOWED
+    group = np.array([next((i % 6 for i, w in enumerate(words) if w in split(u)[0]), 6) for u, _ in rows])
+    found, true = blocked_when_held_out(rows, group)
+    assert (found & true).sum() / found.sum() >= 0.8 and (found & true).sum() / true.sum() >= 0.85
+
+
+def test_labels_name_no_judged_host(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()
+    judged = {re.sub(r"^(www|m|blog)\.", "", split(r.url)[0]).split(".")[0] for r in pages}
+    assert not judged & {h for h, _ in urls.labelled_hosts()}
+
+
 # --- licences -------------------------------------------------------------------------------
 
 def brute_licence(texts, least):
