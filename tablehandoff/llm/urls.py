@@ -48,7 +48,7 @@ def labelled_hosts() -> list[tuple[str, float]]:
     out = []
     for i, word in enumerate(BLOCKED):
         for j in range(5):
-            lure = LURES[(3 * i + 5 * j + 1) % len(LURES)]
+            lure = LURES[(3 * i + 5 * j + 3) % len(LURES)]
             out.append((f"{lure}-{word}" if (i + j) % 2 else f"{word}-{lure}", 1.0))
         out.append((word + LURES[(i + 2) % len(LURES)], 1.0))
     for i, word in enumerate(ALLOWED):
