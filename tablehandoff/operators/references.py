@@ -24,7 +24,7 @@ def unreferenced(
     """Targets nothing refers to; rows for which ``exempt`` holds are never reported."""
     if exempt is not None:
         present = present.where(~F.coalesce(exempt, F.lit(False)))
-    return anti_join(present, refs, keys)
+    return anti_join(present, refs.select(*keys).distinct(), keys)
 
 
 def known_names(df: DataFrame, name: str) -> str:
@@ -38,9 +38,10 @@ def known_names(df: DataFrame, name: str) -> str:
 
 def unknown_keys(used: DataFrame, name: str, registry: DataFrame, key: str = "name") -> DataFrame:
     """Used rows whose name is not in the registry, a table of any size, with the known names
-    in ``known``. A null name is no use of a name."""
+    in ``known``. A null name is no use of a name. Each known name goes into the join once,
+    so one that fills the registry does not fill a task."""
     listed = F.lit(known_names(registry, key))
-    known = registry.select(F.col(key).alias(name))
+    known = registry.select(F.col(key).alias(name)).distinct()
     return anti_join(used.where(F.col(name).isNotNull()), known, [name]).withColumn("known", listed)
 
 
@@ -53,7 +54,7 @@ def unset_required(
     """
     rest = [c for c in decls.columns if c != declared]
     wanted = decls.select(*rest, F.explode(F.map_values(declared)).alias(name))
-    return anti_join(wanted, set_names, [name])
+    return anti_join(wanted, set_names.select(name).distinct(), [name])
 
 
 def merge_maps(base: Column, override: Column, without: Sequence[str] = ()) -> Column:

@@ -154,6 +154,6 @@ def quality_report(
     stopped, small = broadcast_if_bounded(broken.select(key).distinct())
     for severity, parts in (("error", errors), ("warning", warnings)):
         for part in parts:
-            kept = part.join(stopped, key, "left_anti") if small else anti_join(part, broken, [key])
+            kept = part.join(stopped, key, "left_anti") if small else anti_join(part, stopped, [key])
             out = out.unionByName(kept.select(key, F.lit(severity).alias("severity"), "message"))
     return out

@@ -205,6 +205,22 @@ def test_registry(spark):
     assert row.known.startswith("['10', '100', '1000', ") and row.known.endswith(", ... 3000 names in all]")
 
 
+def test_known_names_join_once(spark):
+    # One name fills the registry, as two line statuses fill the line items.
+    registry = spark.range(3000).select(F.when(F.col("id") < 2999, "hot").otherwise("cold").alias("name"))
+    used = spark.createDataFrame([("hot",), ("x",), ("x",), (None,)], "name string")
+    present = used.where("name IS NOT NULL")
+    declared = used.select(F.create_map(F.lit("a"), "name").alias("decl"))
+    for out in (
+        references.unknown_keys(used, "name", registry).select("name"),
+        references.unset_required(declared.where("decl['a'] IS NOT NULL"), "decl", registry),
+        references.unreferenced(present, registry, ["name"]),
+    ):
+        assert rows(out) == [("x",), ("x",)]
+        right = out._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti", 1)[1]
+        assert "Aggregate [name" in right
+
+
 def test_overlay(spark):
     base = spark.createDataFrame([("c", {"host": "h", "user": "meta", "secrets": "s"}), ("d", {"host": "i"})], "k string, b map<string,string>")
     over = spark.createDataFrame([("c", {"user": "u", "password": "p"})], "k string, o map<string,string>")
