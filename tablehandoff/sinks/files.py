@@ -10,14 +10,20 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from tablehandoff.functions.dates import resolve_file_name
 from tablehandoff import storage
+from tablehandoff.scale import with_position
 from tablehandoff.sinks import versions
 from tablehandoff.sources.files import FixedColumn
 
+# Files and rows that one task writes, where files are small.
+TASK_FILES, TASK_ROWS = 200, 100_000
+_PART = re.compile(r"part-(\d+)-.*-c(\d+)(\.|$)")
+
+
 class LayoutError(ValueError):
     """A value does not fit its fixed-width column."""
 
@@ -25,23 +31,46 @@ class LayoutError(ValueError):
 def ordered_parts(
     df: DataFrame, order_by: Sequence[str], rows: int | None, rows_per_file: int | None
 ) -> DataFrame:
-    """``df`` in as many sorted partitions as files; partition i sorts before i + 1.
+    """``df`` in sorted partitions, each for one file or several; partition i sorts before i + 1.
 
     Remaining columns break ties. Exact copies of a row are told apart by the row id of
     the scan, so that even a third of the table being one row spreads over the files.
+
+    Every task reports to the driver, and every range is drawn from rows sampled there. So a
+    task writes several small files: its rows are those of whole files, by their exact position,
+    and the writer begins a file after each ``rows_per_file`` of them. Large files are ranges.
     """
     order = [*order_by, *[c for c in df.columns if c not in order_by]]
     parts = 1 if rows_per_file is None else max(1, math.ceil(rows / rows_per_file))
     if parts == 1:
         return df.repartition(1).sortWithinPartitions(*order)
+    if rows_per_file >= TASK_ROWS:
+        return (
+            df.withColumn("_copy", F.monotonically_increasing_id())
+            .repartitionByRange(parts, *order, "_copy")
+            .sortWithinPartitions(*order)
+            .drop("_copy")
+        )
+    most = min(TASK_FILES, math.ceil(TASK_ROWS / rows_per_file))
+    tasks = max(math.ceil(parts / most), min(parts, df.sparkSession.sparkContext.defaultParallelism))
+    task_rows = math.ceil(parts / tasks) * rows_per_file
+    tasks = math.ceil(rows / task_rows)
+    task = F.least(F.floor(F.col("_position") / task_rows), F.lit(tasks - 1)).cast("int")
     return (
-        df.withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *order, "_copy")
-        .sortWithinPartitions(*order)
-        .drop("_copy")
+        with_position(df, order_by, "_position")
+        .repartitionById(tasks, task)
+        .sortWithinPartitions("_position")
+        .drop("_position")
     )
 
 
+def part_order(name: str) -> tuple[int, int]:
+    """The place of a part file: task, then file of the task. By number, not as text:
+    part-100000 comes after part-99999."""
+    found = _PART.match(name)
+    return int(found[1]), int(found[2])
+
+
 def publish(
     df: DataFrame, staged: str, directory: str, name: str, numbered: bool
 ) -> list[str]:
@@ -54,10 +83,8 @@ def publish(
     spark = df.sparkSession
     base = directory.rstrip("/")
     storage.make_folder(spark, base)
-    # By number, not as text: part-100000 comes after part-99999.
     parts = sorted(
-        (f for f in storage.file_names(spark, staged) if f.startswith("part-")),
-        key=lambda f: int(f.split("-")[1]),
+        (f for f in storage.file_names(spark, staged) if f.startswith("part-")), key=part_order
     )
     stem, dot, ext = name.rpartition(".")
     if not dot:
@@ -85,6 +112,15 @@ def _staged(directory: str) -> str:
     return f"{directory.rstrip('/')}/.incoming-{uuid.uuid4().hex}"
 
 
+def _cut(rows_per_file: int | None) -> int:
+    """After how many rows the writer begins a new file; 0 is never."""
+    return 0 if rows_per_file is None or rows_per_file >= TASK_ROWS else rows_per_file
+
+
+def _writer(parts: DataFrame, rows_per_file: int | None) -> DataFrameWriter:
+    return parts.write.option("maxRecordsPerFile", _cut(rows_per_file))
+
+
 def _lines(df: DataFrame) -> int:
     """The number of rows; an error if a value holds a line break."""
     texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "varchar", "char")]
@@ -110,6 +146,7 @@ def deliver_version(
     parts = ordered_parts(df, order_by, rows, rows_per_file)
     if fmt == "csv":
         options = {"header": True, "escape": '"'} | options
+    options = {"maxRecordsPerFile": _cut(rows_per_file)} | options
     pointer = versions.publish(spark, base, versions.write_version(parts, base, fmt, **options), str(rows))
     versions.clean(spark, base)
     return pointer
@@ -131,7 +168,7 @@ def deliver_csv(
     """
     staged = _staged(directory)
     parts = ordered_parts(df, order_by, _lines(df), rows_per_file)
-    parts.write.option("header", True).option("sep", sep).option("escape", '"').csv(staged)
+    _writer(parts, rows_per_file).option("header", True).option("sep", sep).option("escape", '"').csv(staged)
     return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
@@ -178,7 +215,7 @@ def deliver_fixed(
         raise LayoutError("values do not fit the layout (" + ", ".join(wrong) + ")")
     staged = _staged(directory)
     parts = ordered_parts(df, order_by, checks["_rows"], rows_per_file)
-    parts.select(fixed_line(layout).alias("value")).write.text(staged)
+    _writer(parts.select(fixed_line(layout).alias("value")), rows_per_file).text(staged)
     return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
@@ -193,7 +230,7 @@ def deliver_json(
     """One object per line, null fields written out."""
     staged = _staged(directory)
     parts = ordered_parts(df, order_by, _rows(df, rows_per_file), rows_per_file)
-    parts.write.option("ignoreNullFields", False).json(staged)
+    _writer(parts, rows_per_file).option("ignoreNullFields", False).json(staged)
     return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 
@@ -209,7 +246,7 @@ def deliver_xml(
 ) -> list[str]:
     staged = _staged(directory)
     parts = ordered_parts(df, order_by, _rows(df, rows_per_file), rows_per_file)
-    parts.write.format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(staged)
+    _writer(parts, rows_per_file).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(staged)
     return publish(df, staged, directory, resolve_file_name(pattern, run_date), rows_per_file is not None)
 
 

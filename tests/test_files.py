@@ -97,6 +97,33 @@ def test_numbered_files_follow_the_order(spark, folder):
     assert seen == sorted(data)
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "fixed", "xml"])
+def test_a_task_writes_several_files(spark, folder, fmt, monkeypatch):
+    # One row makes up a third; 61 files of 5 rows, the last of 2, by 8 tasks at most.
+    data = [(f"S{i * 37 % 200:07d}", "x", "c", i % 3) for i in range(202)] + [("S0000007", "y", "c", 1)] * 100
+    df = spark.createDataFrame(data, "STUDENT_ID string, FAMILY_NAME string, COURSE_CODE string, N int").repartition(3)
+    written = []
+    real = sinks.publish
+
+    def publish(df, staged, *rest):
+        written.extend(n for n in os.listdir(staged) if n.startswith("part-"))
+        return real(df, staged, *rest)
+
+    monkeypatch.setattr(sinks, "publish", publish)
+    monkeypatch.setattr(sinks, "TASK_FILES", 10)
+    paths = deliver(fmt, df, folder, rows_per_file=5)
+    assert len(paths) == 61 and [sinks.part_order(n)[1] for n in written].count(0) <= 8
+    each = [read(spark, fmt, [p]).select("STUDENT_ID", "FAMILY_NAME", "COURSE_CODE", "N") for p in (paths[0], paths[30], paths[-1])]
+    want = sorted(data)
+    assert [rows(df) for df in each] == [want[:5], want[150:155], want[300:]]
+    assert rows(read(spark, fmt, paths)) == want
+
+
+def test_part_files_are_ordered_by_number():
+    names = ["part-00002-a-b-c000.csv", "part-100000-a-c000.csv", "part-00002-a-b-c1000", "part-00002-a-b-c999.json"]
+    assert sorted(names, key=sinks.part_order) == [names[0], names[3], names[2], names[1]]
+
+
 def test_smaller_redelivery_removes_old_parts(extract, folder):
     deliver("csv", extract, folder, rows_per_file=1)
     Path(folder, "other.csv").write_text("x")
