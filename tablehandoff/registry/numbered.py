@@ -1,4 +1,4 @@
-"""Deliveries as numbered files, written and read back by as many tasks as there are files."""
+"""Deliveries as numbered files, written and read back by many tasks of several files each."""
 
 from __future__ import annotations
 
