@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablehandoff.scale import anti_join
 
-# Names of a registry that a message lists.
+# Names of a registry that a short message lists, and that go into a plan as one literal.
 REGISTRY_NAMES = 1_000
 
 
@@ -27,22 +27,53 @@ def unreferenced(
     return anti_join(present, refs.select(*keys).distinct(), keys)
 
 
-def known_names(df: DataFrame, name: str) -> str:
-    """The sorted names of a registry as text, for messages: the first ``REGISTRY_NAMES`` of
-    them, and how many there are in all if that is not all."""
+def known_names(df: DataFrame, name: str, whole: bool = False) -> str | DataFrame:
+    """The sorted names of a registry as text, for messages: all of them if ``whole``, else the
+    first ``REGISTRY_NAMES``, and how many there are in all if that is not all. More names than
+    that, all listed, are a table of one row."""
     names = df.select(F.col(name).alias("name")).where(F.col(name).isNotNull()).distinct()
     first = [r.name for r in names.orderBy("name").limit(REGISTRY_NAMES + 1).collect()]
     listed = ", ".join(f"'{n}'" for n in first[:REGISTRY_NAMES])
-    return f"[{listed}]" if len(first) <= REGISTRY_NAMES else f"[{listed}, ... {names.count()} names in all]"
+    if len(first) <= REGISTRY_NAMES:
+        return f"[{listed}]"
+    return _all_listed(names) if whole else f"[{listed}, ... {names.count()} names in all]"
 
 
-def unknown_keys(used: DataFrame, name: str, registry: DataFrame, key: str = "name") -> DataFrame:
+def _all_listed(names: DataFrame) -> DataFrame:
+    """One row: all the names, quoted, in order and in brackets, as one text.
+
+    Each range of names becomes a text first, so no task holds all names one by one; the
+    ranges are ordered by their first names. Only the text itself has to fit a row.
+    """
+    quoted = F.transform(
+        F.sort_array(F.collect_list("name")),
+        lambda n: F.concat(F.lit("'"), n.cast("string"), F.lit("'")),
+    )
+    ranges = (
+        names.repartitionByRange("name")
+        .withColumn("_run", F.spark_partition_id())
+        .groupBy("_run")
+        .agg(F.min("name").alias("first"), F.array_join(quoted, ", ").alias("text"))
+    )
+    ordered = F.sort_array(F.collect_list(F.struct("first", "text")))
+    joined = F.array_join(F.transform(ordered, lambda r: r["text"]), ", ")
+    return ranges.agg(F.concat(F.lit("["), joined, F.lit("]")))
+
+
+def unknown_keys(
+    used: DataFrame, name: str, registry: DataFrame, key: str = "name", whole: bool = False
+) -> DataFrame:
     """Used rows whose name is not in the registry, a table of any size, with the known names
-    in ``known``. A null name is no use of a name. Each known name goes into the join once,
-    so one that fills the registry does not fill a task."""
-    listed = F.lit(known_names(registry, key))
+    in ``known``, all of them if ``whole``. A null name is no use of a name. Each known name
+    goes into the join once, so one that fills the registry does not fill a task."""
+    listed = known_names(registry, key, whole)
     known = registry.select(F.col(key).alias(name)).distinct()
-    return anti_join(used.where(F.col(name).isNotNull()), known, [name]).withColumn("known", listed)
+    unknown = anti_join(used.where(F.col(name).isNotNull()), known, [name])
+    if isinstance(listed, str):
+        return unknown.withColumn("known", F.lit(listed))
+    # The join leaves all uses of one unknown name in one task, and each now gets a long text.
+    tasks = int(used.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return unknown.repartition(tasks).withColumn("known", listed.scalar())
 
 
 def unset_required(

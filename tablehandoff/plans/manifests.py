@@ -242,7 +242,9 @@ def manifest_report(
         return _report([broken, absent, unread], orphans)
     used = used_connections(parsed)
     message = F.concat(F.lit("connection '"), "name", F.lit("' is not defined in the registry (known: "), "known", F.lit(")"))
-    unknown = references.unknown_keys(used, "name", connections).select("job", message.alias("message"))
+    unknown = references.unknown_keys(used, "name", connections, whole=True).select(
+        "job", message.alias("message")
+    )
     head, tail = UNSET.split("{name}")
     declared = connections.select("name", F.explode(F.map_values("secrets")).alias("variable"))
     unset = declared.join(

@@ -153,7 +153,7 @@ FROM orders WHERE o_orderstatus NOT IN (SELECT DISTINCT l_linestatus FROM lineit
 def unknown_keys(t: Tables) -> DataFrame:
     """Order statuses that are no line status; the line statuses are the registry."""
     used = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("name"))
-    return references.unknown_keys(used, "name", t.lineitem, "l_linestatus")
+    return references.unknown_keys(used, "name", t.lineitem, "l_linestatus", whole=True)
 
 
 @query(f"""WITH {BIG}, set_names AS (

@@ -10,6 +10,7 @@ from conftest import rows
 from tablehandoff.operators import contract, references
 from tablehandoff.operators import rows as table
 from tablehandoff.plans import manifests
+from tablehandoff.registry import QUERIES
 from test_snapshots import BASE, changed
 
 KNOWN = ["git_main", "mule_dev", "mule_repo_dev", "oracle_dev", "sftp_dev"]
@@ -205,6 +206,45 @@ def test_registry(spark):
     assert row.known.startswith("['10', '100', '1000', ") and row.known.endswith(", ... 3000 names in all]")
 
 
+@pytest.mark.parametrize("least", ["1b", "1m"])
+def test_every_known_name_is_listed(spark, folder, least):
+    # More names than go into a plan, repeated and with a null, in several ranges and in one.
+    names = [f"n{i % 2500}" for i in range(5000)]
+    spark.createDataFrame([(n,) for n in [*names, None]], "l_linestatus string").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1, "x"), (2, "n7"), (3, None)], "o_orderkey long, o_orderstatus string").write.parquet(
+        f"{folder}/orders.parquet"
+    )
+    least_size = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least_size, least)
+    try:
+        got = QUERIES["unknown_keys"](spark, folder).select("o_orderkey", "name", "known")
+        assert rows(got) == [(1, "x", str(sorted(set(names))))]
+    finally:
+        spark.conf.unset(least_size)
+
+
+def test_a_report_lists_every_connection(spark):
+    names = sorted([*KNOWN, *(f"c{i}" for i in range(1200))])
+    header, text, files = CASES["connection"]
+    connections = spark.createDataFrame([(n, {}) for n in names], "name string, secrets map<string,string>")
+    out = manifests.manifest_report(
+        spark.createDataFrame([("j", text, header)], "job string, text string, header string"),
+        spark.createDataFrame([("j", f) for f in files], "job string, path string"),
+        connections, connections.select("name"),
+    )
+    message = f"connection 'sftp_prod' is not defined in the registry (known: {names})"
+    assert rows(out) == [("j", "error", message)]
+
+
+def test_long_lists_are_dealt_out(spark):
+    # All uses of one unknown name leave the join in one task.
+    registry = spark.range(1500).select(F.concat(F.lit("n"), "id").alias("name"))
+    used = spark.range(400).select("id", F.lit("x").alias("name"))
+    out = references.unknown_keys(used, "name", registry, whole=True)
+    parts = out.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert len(parts) > 1 and sum(p["count"] for p in parts) == 400
+
+
 def test_known_names_join_once(spark):
     # One name fills the registry, as two line statuses fill the line items.
     registry = spark.range(3000).select(F.when(F.col("id") < 2999, "hot").otherwise("cold").alias("name"))
